@@ -54,3 +54,10 @@ def lookup(table: dict[str, object], key: Column, value_type: str | None = None)
         cells += [F.lit(name), F.lit(value)]
     found = F.try_element_at(F.create_map(*cells), key)
     return found.cast(value_type) if value_type else found
+
+
+def last_wins(entries: Column) -> Column:
+    """A map from entries; of entries with equal keys the last one counts."""
+    backwards = F.reverse(entries)
+    keys = F.transform(backwards, lambda e: e["key"])
+    return F.map_from_entries(F.filter(backwards, lambda e, i: F.array_position(keys, e["key"]) == i + 1))

@@ -100,24 +100,27 @@ def number_rows(
     return running(df, keys, order, blocks, {name: ("sum", F.lit(1).cast("bigint"))})
 
 
-def with_halo(df: DataFrame, pos: str = "pos", size: int = BLOCK_ROWS) -> DataFrame:
-    """Cut rows with a dense 1-based position into blocks that overlap by one row.
+def with_halo(
+    df: DataFrame, pos: str = "pos", size: int = BLOCK_ROWS, *, before: int = 1, after: int = 1
+) -> DataFrame:
+    """Cut rows with a dense 1-based position into overlapping blocks.
 
-    Adds ``_block`` and ``_own``; the first and last row of every block also
-    appear, with ``_own`` false, in the neighbouring block, so that ``lag(1)`` and
-    ``lead(1)`` inside ``(key, _block)`` see their true neighbours.
+    Adds ``_block`` and ``_own``.  The last ``before`` rows of every block also
+    appear, with ``_own`` false, in the next block, and the first ``after`` rows in
+    the previous one, so that ``lag`` and ``lead`` up to these distances see their
+    true neighbours inside ``(key, _block)``.
     """
+    if max(before, after) > size:
+        raise ValueError("a block must be at least as long as its overlap")
     ordinal = F.col(pos) - 1
     block = block_of(ordinal, size)
+    within = ordinal % F.lit(size)
     copies = F.filter(
         F.array(
             F.struct(block.alias("b"), F.lit(True).alias("own")),
+            F.struct(F.when(within >= size - before, block + 1).alias("b"), F.lit(False).alias("own")),
             F.struct(
-                F.when(ordinal % size == size - 1, block + 1).alias("b"), F.lit(False).alias("own")
-            ),
-            F.struct(
-                F.when((ordinal % size == 0) & (block > 0), block - 1).alias("b"),
-                F.lit(False).alias("own"),
+                F.when((within < after) & (block > 0), block - 1).alias("b"), F.lit(False).alias("own")
             ),
         ),
         lambda copy: copy["b"].isNotNull(),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions import dialogue as dx
 from duologue.functions import fixed_values as fv
-from duologue.functions.text import round_half_up, strip
+from duologue.functions.text import last_wins, round_half_up, strip
 from duologue.operators.ordered import BLOCK_ROWS, block_of, number_rows
 
 
@@ -42,14 +42,10 @@ def reference_speakers(items: DataFrame, keys: Sequence[str] = ("conv_id",)) ->
 
 def lower_keys(items: DataFrame) -> DataFrame:
     """Case-insensitive reply fields: the last of two spellings wins."""
-    entries = F.reverse(F.map_entries("item"))
-    first_of_each = F.filter(
-        F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))),
-        lambda e: e["key"].isNotNull(),
-    )
-    distinct = F.array_distinct(F.transform(first_of_each, lambda e: e["key"]))
-    value_of = lambda key: F.element_at(F.filter(first_of_each, lambda e: e["key"] == key), 1)["value"]
-    return items.withColumn("item", F.map_from_arrays(distinct, F.transform(distinct, value_of)))
+    lowered = F.transform(
+        F.map_entries("item"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))
+    )
+    return items.withColumn("item", last_wins(lowered))
 
 
 def normalise_items(items: DataFrame, keys: Sequence[str] = ("conv_id",)) -> DataFrame:
