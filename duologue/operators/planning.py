@@ -310,15 +310,31 @@ def budget_admission(
     )
 
 
-def failure_runs(outcomes: DataFrame, order: Sequence[str], blocks: Sequence[str], size: int = BLOCK_ROWS) -> DataFrame:
-    """Length of the run of failures ending at every outcome (0 on acceptance)."""
+def failure_runs(
+    outcomes: DataFrame,
+    order: Sequence[str],
+    blocks: Sequence[str],
+    size: int = BLOCK_ROWS,
+    open_runs: DataFrame | None = None,
+) -> DataFrame:
+    """Length of the run of failures ending at every outcome (0 on acceptance).
+
+    ``open_runs`` (``open_failures``, ``attempts`` per instance) continues runs that an
+    earlier batch left open.
+    """
     numbered = number_rows(outcomes, [INSTANCE], order, blocks, "_n").withColumn("_blk", block_of(F.col("_n"), size))
     last = F.when(F.col("accepted"), F.col("_n"))
     marked = running(numbered, [INSTANCE], ["_n"], ["_blk"], {"_last": ("max", last)})
+    held, seen = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    if open_runs is not None:
+        kept = open_runs.select(INSTANCE, F.col("open_failures").alias("_open"), F.col("attempts").alias("_seen"))
+        marked = marked.join(kept, INSTANCE, "left")
+        held, seen = F.coalesce("_open", held), F.coalesce("_seen", seen)
+    run = F.when(F.col("_last").isNull(), F.col("_n") + held).otherwise(F.col("_n") - F.col("_last"))
     return (
-        marked.withColumn("attempt_no", F.col("_n"))
-        .withColumn("consecutive_failures", F.col("_n") - F.coalesce("_last", F.lit(0)))
-        .drop("_n", "_blk", "_last")
+        marked.withColumn("attempt_no", F.col("_n") + seen)
+        .withColumn("consecutive_failures", run)
+        .drop("_n", "_blk", "_last", "_open", "_seen")
     )
 
 

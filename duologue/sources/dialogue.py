@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.functions import fixed_values as fv
 from duologue.functions.text import strip
+from duologue.operators.ordered import number_rows
 
 CORPUS_SCHEMA = (
     "corpus_combination_id bigint, language string, agent_emotion string, user_emotion string, "
@@ -40,18 +40,24 @@ def parse_turn_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_turn_lines(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
-    """Turns from JSON lines.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their 1-based number per file.
 
-    Line numbers come from the file's own row order within one split: a file is
-    read whole (``wholetext``) and numbered by ``posexplode``, so keep turn files
-    conversation-sized.  ``strict`` fails the job at the first bad line and names it.
+    A file may span many splits: lines are counted per split and earlier splits are
+    carried over, so no file has to fit into one task.
     """
-    whole = spark.read.option("wholetext", True).text(path)
-    lines = whole.select(
-        F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n", -1)).alias("_p", "value")
-    ).select("file", (F.col("_p") + 1).alias("line_no"), "value")
-    turns = parse_turn_lines(lines)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_row"),
+        "value",
+    )
+    return number_rows(lines, ["file"], ["_row"], ["_split"], "line_no").select("file", "line_no", "value")
+
+
+def read_turn_lines(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
+    """Turns from JSON lines; ``strict`` fails at a bad line and names file and line number."""
+    turns = parse_turn_lines(numbered_lines(spark, path))
     if not strict:
         return turns
     message = F.concat(
@@ -73,6 +79,3 @@ def read_conversations(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.option("wholetext", True).text(path)
     return stored_turns(whole.select(F.input_file_name().alias("file"), "value"))
 
-
-def present_turn_fields() -> list[str]:
-    return list(fv.TURN_FIELDS)
