@@ -12,7 +12,7 @@ from checks import views_sql
 from checks.views import Views
 from duologue.functions import fixed_values as fv
 
-MODULES = ["catalog_voice", "catalog_turns", "catalog_corpus", "catalog_text"]
+MODULES = ["catalog_voice", "catalog_turns", "catalog_corpus", "catalog_text", "catalog_files", "catalog_streams"]
 
 
 @cache

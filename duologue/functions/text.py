@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,8 +58,18 @@ def lookup(table: dict[str, object], key: Column, value_type: str | None = None)
     return found.cast(value_type) if value_type else found
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def last_wins(entries: Column) -> Column:
     """A map from entries; of entries with equal keys the last one counts."""
-    backwards = F.reverse(entries)
-    keys = F.transform(backwards, lambda e: e["key"])
-    return F.map_from_entries(F.filter(backwards, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+
+    def build(backwards: Column) -> Column:
+        keys = F.transform(backwards, lambda e: e["key"])
+        return bind(
+            keys, lambda k: F.map_from_entries(F.filter(backwards, lambda e, i: F.array_position(k, e["key"]) == i + 1))
+        )
+
+    return bind(F.reverse(entries), build)

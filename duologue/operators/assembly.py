@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duologue.functions.text import round_half_up, squeeze, strip
@@ -113,13 +113,16 @@ def align_words(
     Clips are hash-partitioned before their words are exploded, so the running sum
     over words needs no further shuffle.
     """
-    words = F.split(squeeze(F.col("text")), " ", -1)
-    spread = (
-        clips.where((F.col("duration") > 0) & (squeeze(F.col("text")) != ""))
+    # The word count is taken before the explode; as a neighbour of the generator it
+    # would be computed again for every word.
+    split = (
+        clips.where(F.col("duration") > 0)
+        .select(*keys, "speaker", "duration", squeeze(F.col("text")).alias("_text"))
         .repartition(*keys)
-        .select(*keys, "speaker", "duration", F.size(words).alias("_n"), F.posexplode(words).alias("_i", "word"))
+        .select(*keys, "speaker", "duration", F.split("_text", " ", -1).alias("_words"))
+        .select("*", F.size("_words").alias("_n"))
     )
-    from pyspark.sql import Window
+    spread = split.select(*keys, "speaker", "duration", "_n", F.posexplode("_words").alias("_i", "word")).where("word != ''")
 
     clip = Window.partitionBy(*keys)
     chars = F.length("word").cast("bigint")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
-from duologue.functions.text import last_wins, strip
+from duologue.functions.text import bind, last_wins, strip
 
 FENCE = "```"
 FALSY = ["false", "null", "0", "0.0", "-0.0", '""', "[]", "{}"]
@@ -15,12 +15,18 @@ FALSY = ["false", "null", "0", "0.0", "-0.0", '""', "[]", "{}"]
 # ---- raw text ------------------------------------------------------------------
 def unfenced(reply: Column) -> Column:
     """Reply without an enclosing code fence."""
-    text = strip(reply)
-    newline = F.instr(text, "\n")
-    body = F.when(newline > 0, F.substring(text, newline + 1, F.length(text))).otherwise(text)
-    tail = F.substring_index(body, FENCE, -1)
-    inner = F.when(F.contains(body, F.lit(FENCE)), F.substring(body, F.lit(1), F.length(body) - F.length(tail) - 3)).otherwise(body)
-    return F.when(F.startswith(text, F.lit(FENCE)), strip(inner)).otherwise(text)
+
+    def inner(text: Column) -> Column:
+        newline = F.instr(text, "\n")
+        body = F.when(newline > 0, F.substring(text, newline + 1, F.length(text))).otherwise(text)
+        return F.when(F.startswith(text, F.lit(FENCE)), strip(bind(body, before_last_fence))).otherwise(text)
+
+    def before_last_fence(body: Column) -> Column:
+        tail = F.substring_index(body, FENCE, -1)
+        kept = F.substring(body, F.lit(1), F.length(body) - F.length(tail) - len(FENCE))
+        return F.when(F.contains(body, F.lit(FENCE)), kept).otherwise(body)
+
+    return bind(strip(reply), inner)
 
 
 def extract_json(replies: DataFrame, column: str = "reply") -> DataFrame:
@@ -41,9 +47,8 @@ def first_object(body: Column) -> Column:
 
 def fields(body: Column) -> Column:
     """Top-level fields by lower-case key, each as JSON text; NULL unless an object."""
-    parsed = F.from_json(body, "map<string,variant>")
     lowered = F.transform(
-        F.map_entries(parsed),
+        F.map_entries(F.from_json(body, "map<string,variant>")),
         lambda e: F.struct(F.lower(e["key"]).alias("key"), F.to_json(e["value"]).alias("value")),
     )
     return F.when(F.startswith(body, F.lit("{")), last_wins(lowered))
@@ -55,8 +60,12 @@ def raw(field_map: Column, key: str) -> Column:
 
 def plain(json_text: Column) -> Column:
     """Unquoted text of a JSON value; ``null`` reads ``None``."""
-    text = F.when(F.startswith(json_text, F.lit('"')), F.from_json(F.concat(F.lit('{"v":'), json_text, F.lit("}")), "v string")["v"]).otherwise(json_text)
-    return F.when(json_text == "null", F.lit("None")).otherwise(text)
+
+    def unquote(j: Column) -> Column:
+        quoted = F.from_json(F.concat(F.lit('{"v":'), j, F.lit("}")), "v string")["v"]
+        return F.when(j == "null", F.lit("None")).when(F.startswith(j, F.lit('"')), quoted).otherwise(j)
+
+    return bind(json_text, unquote)
 
 
 def text_field(field_map: Column, key: str, default: str = "") -> Column:
@@ -74,7 +83,7 @@ def score(json_text: Column, low: float = 0.0, high: float = 10.0) -> Column:
 
 
 def choice(value: Column, allowed: list[str], default: str) -> Column:
-    return F.when(value.isin(allowed), value).otherwise(default)
+    return bind(value, lambda x: F.when(x.isin(allowed), x).otherwise(default))
 
 
 def objects(json_text: Column) -> Column:
@@ -98,10 +107,15 @@ def issues(json_text: Column, *references: str) -> Column:
 
 
 # ---- verdicts ------------------------------------------------------------------
+def with_fields(bodies: DataFrame, column: str) -> DataFrame:
+    """Adds ``_f``, the lower-case fields of the reply's object."""
+    return bodies.withColumn("_o", first_object(F.col(column))).withColumn("_f", fields(F.col("_o")))
+
+
 def content_verdicts(bodies: DataFrame, column: str = "body") -> DataFrame:
     """Typed content verdicts; ``is_error`` marks a reply that is no object."""
     f = F.col("_f")
-    found = bodies.withColumn("_f", fields(first_object(F.col(column))))
+    found = with_fields(bodies, column)
     low_matches = fields(F.coalesce(raw(f, "corpus_field_matches"), F.lit("{}")))
     cells: list[Column] = []
     for name in fv.CORPUS_FIELDS:
@@ -128,7 +142,7 @@ def content_verdicts(bodies: DataFrame, column: str = "body") -> DataFrame:
 
 def format_verdicts(bodies: DataFrame, column: str = "body") -> DataFrame:
     f = F.col("_f")
-    return bodies.withColumn("_f", fields(first_object(F.col(column)))).select(
+    return with_fields(bodies, column).select(
         *bodies.columns,
         f.isNull().alias("is_error"),
         choice(F.upper(text_field(f, "verdict", "NEEDS_REVIEW")), fv.VERDICTS, "NEEDS_REVIEW").alias("verdict"),
@@ -162,15 +176,19 @@ def render_feedback(feedback: Column, missed: Column | None, listed: Column) ->
 
 def verdict_stats(verdicts: DataFrame) -> DataFrame:
     """Mean scores, pass rate and how often each attribute is missed, as long rows."""
-    read = verdicts.where(~F.col("is_error"))
-    n = F.count("*")
-    mean = lambda name: (F.sum(F.col(name).cast("decimal(18,4)")).cast("double") / n)
-    missed = {f: F.count_if(~F.coalesce(F.try_element_at("field_matches", F.lit(f)), F.lit(False))) for f in fv.CORPUS_FIELDS}
-    wide = read.agg(
+    # Conditions stay inside the aggregates: a filter would be pushed below the parsing
+    # and repeat it.
+    good = ~F.col("is_error")
+    n = F.count_if(good)
+    mean = lambda name: F.sum(F.when(good, F.col(name)).cast("decimal(18,4)")).cast("double") / n
+    missed = {
+        f: F.count_if(good & ~F.coalesce(F.try_element_at("field_matches", F.lit(f)), F.lit(False))) for f in fv.CORPUS_FIELDS
+    }
+    wide = verdicts.agg(
         n.cast("double").alias("replies"),
         mean("realism_score").alias("mean_realism"),
         mean("corpus_match_score").alias("mean_match"),
-        (F.count_if(F.col("verdict") == "PASS") / n).alias("pass_rate"),
+        (F.count_if(good & (F.col("verdict") == "PASS")) / n).alias("pass_rate"),
         *[count.cast("double").alias(f"missed/{name}") for name, count in missed.items()],
     )
     return wide.unpivot([], wide.columns, "metric", "value")
