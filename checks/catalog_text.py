@@ -234,4 +234,10 @@ def register(q) -> None:
                UNION ALL SELECT 'missed/user_emotion', count(*) FILTER (NOT m_user_emotion) FROM verdict_fields WHERE NOT is_error
                UNION ALL SELECT 'missed/' || f, count(*) FROM verdict_fields, (VALUES ('agent_accent'), ('user_accent'), ('gender_pair'), ('conversation_type'), ('topic_relevance')) x(f) WHERE NOT is_error GROUP BY f)""",
     )
-    q("score_rows", scored)
+    q(
+        "score_rows",
+        scored,
+        f"""SELECT corpus_combination_id, CASE WHEN NOT contains(prompt, 'Normal') THEN '{{"chars": ' || length(prompt) || '}}' END AS reply,
+                  CASE WHEN contains(prompt, 'Normal') THEN 'RuntimeError' END AS error_type, contains(prompt, 'Normal') AS is_limit
+           FROM (SELECT corpus_combination_id, concat_ws(chr(10), {', '.join(PROMPT_SQL['generator'])}) AS prompt FROM {REQUEST_INPUT})""",
+    )

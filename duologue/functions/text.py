@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters a Unicode-aware strip() or split() treats as blank.
+# The characters a Unicode-aware strip() or split() treats as blank.
 BLANK = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(value: Column) -> Column:
     """Trim all Unicode blanks, not only the space character."""
-    return F.regexp_replace(value, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(value, F.lit(BLANK_CHARACTERS))
 
 
 def squeeze(value: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duologue.functions.text import round_half_up, squeeze, strip
-from duologue.operators.ordered import BLOCK_ROWS, block_of, number_rows, running
+from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, number_rows
 
 EXACT = "decimal(28,6)"
 
@@ -57,11 +57,14 @@ def load_scripts(documents: DataFrame, column: str = "value") -> DataFrame:
 
 
 def script_turns(scripts: DataFrame) -> DataFrame:
-    """Kept scripts, one row per turn."""
-    return (
-        scripts.where("drop_reason is null")
-        .select("conversation_id", "language", F.posexplode("turns").alias("_p", "_t"))
-        .select("conversation_id", "language", (F.col("_p") + 1).cast("bigint").alias("pos"), "_t.*")
+    """Kept scripts, one row per turn.
+
+    Dropped scripts lose their turns here instead of being filtered: a filter would
+    move below the parsing and parse every document again.
+    """
+    kept = F.when(F.col("drop_reason").isNull(), F.col("turns"))
+    return scripts.select("conversation_id", "language", F.posexplode(kept).alias("_p", "_t")).select(
+        "conversation_id", "language", (F.col("_p") + 1).cast("bigint").alias("pos"), "_t.*"
     )
 
 
@@ -90,18 +93,25 @@ def schedule(
     exact = lambda v: v.cast(EXACT)
     gap = F.when(F.col("gap") > 0, F.col("gap")).otherwise(F.lit(default_gap))
     shift = F.when(F.col("overlap") > 0, -F.least(F.col("overlap"), F.lit(max_overlap))).otherwise(gap)
-    first = F.col("pos") == 1
-    step = F.when(first, exact(F.lit(lead))).otherwise(exact(shift))
-    stepped = clips.withColumn("_blk", block_of(F.col("pos"), size)).withColumn("_step", step)
-    summed = running(
-        stepped, keys, ["pos"], ["_blk"], {"_sum": ("sum", (F.col("_step") + exact(F.col("duration"))).cast(EXACT))}
-    ).withColumn("_t", (F.col("_sum") - exact(F.col("duration"))).cast(EXACT))
-    low = running(summed, keys, ["pos"], ["_blk"], {"_low": ("min", F.col("_t"))})
-    start = F.col("_t") - F.least(exact(F.lit(0)), F.col("_low"))
-    return low.select(
+    step = F.when(F.col("pos") == 1, exact(F.lit(lead))).otherwise(exact(shift))
+    upto = block_window(keys, ["_blk"], ["pos"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (
+        clips.select("*", block_of(F.col("pos"), size).alias("_blk"), step.alias("_step"), exact(F.col("duration")).alias("_d"))
+        .withColumn("_t", (F.sum(F.col("_step") + F.col("_d")).over(upto) - F.col("_d")).cast(EXACT))
+        .withColumn("_low", F.min("_t").over(upto))
+    )
+    # One row per block: its length, and how low it dips below its own beginning.
+    dips = local.groupBy(*keys, "_blk").agg(F.sum(F.col("_step") + F.col("_d")).cast(EXACT).alias("_len"), F.min("_t").alias("_dip"))
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    begun = dips.withColumn("_base", F.coalesce(F.sum("_len").over(earlier).cast(EXACT), exact(F.lit(0))))
+    entry = begun.select(*keys, "_blk", "_base", F.min(F.col("_base") + F.col("_dip")).over(earlier).cast(EXACT).alias("_before"))
+    joined = local.join(entry, [*keys, "_blk"])
+    lowest = F.least(exact(F.lit(0)), F.col("_before"), (F.col("_base") + F.col("_low")).cast(EXACT))
+    start = F.col("_base") + F.col("_t") - lowest
+    return joined.select(
         *clips.columns,
         start.cast("double").alias("start"),
-        (start + exact(F.col("duration"))).cast("double").alias("end"),
+        (start + F.col("_d")).cast("double").alias("end"),
     )
 
 

@@ -73,32 +73,49 @@ def _floor_after(span: Column, kind: Column, ticks: Column, ratio: Column) -> Co
     return F.when(kind == "Overlapping", F.greatest(span * F.lit(TICKS_PER_CS), end)).otherwise(end)
 
 
-def link_turns(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BLOCK_ROWS) -> DataFrame:
+def link_turns(
+    turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BLOCK_ROWS, *, blocked: bool = True
+) -> DataFrame:
     """Mark linked turns; result rows are blocks with one row of overlap on both sides.
 
-    ``turns`` needs a dense 1-based ``pos``, ``speaker`` and ``turn_type``.
+    ``turns`` needs a dense 1-based ``pos``, ``speaker`` and ``turn_type``.  Without
+    ``blocked`` each conversation is one block.
     """
-    blocks = with_halo(turns, "pos", size)
+    if blocked:
+        blocks = with_halo(turns, "pos", size)
+    else:
+        blocks = turns.select("*", F.lit(0).cast("bigint").alias("_block"), F.lit(True).alias("_own"))
     in_order = block_window(keys, ["_block"], ["pos"])
     previous = F.lag("speaker").over(in_order)
     candidate = (F.col("turn_type") != "Normal") & (previous != F.col("speaker"))
     known = blocks.withColumn("_candidate", F.coalesce(candidate, F.lit(False)))
     anchor_pos = F.when(~F.col("_candidate"), F.col("pos"))
-    state = carry_over(known.where("_own"), keys, ["_block"], {"_before": ("max", anchor_pos)})
     # The leading halo row lacks its own predecessor, so only later rows may reset the run.
     leading = (~F.col("_own")) & ((F.col("pos") - 1) < F.col("_block") * size)
     local = F.max(F.when(~leading, anchor_pos)).over(
         in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = known.select("*", local.alias("_local")).join(state, [*keys, "_block"], "left")
+    joined = known.select("*", local.alias("_local"))
+    if blocked:
+        state = carry_over(known.where("_own"), keys, ["_block"], {"_before": ("max", anchor_pos)})
+        joined = joined.join(state, [*keys, "_block"], "left")
+    else:
+        joined = joined.withColumn("_before", F.lit(None).cast("bigint"))
     reset = F.coalesce(F.greatest("_local", "_before"), F.lit(0))
     linked = F.col("_candidate") & ((F.col("pos") - reset) % 2 == 1)
     return joined.withColumn("_linked", linked & ~leading).drop("_local", "_before", "_candidate")
 
 
-def lay_out(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BLOCK_ROWS) -> DataFrame:
-    """Times and relations of narrow turns ``(keys, pos, speaker, turn_type, ratio, ticks)``."""
-    linked = link_turns(turns, keys, size)
+def lay_out(
+    turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BLOCK_ROWS, *, blocked: bool = True
+) -> DataFrame:
+    """Times and relations of narrow turns ``(keys, pos, speaker, turn_type, ratio, ticks)``.
+
+    ``blocked`` cuts conversations into blocks of ``size`` turns and carries state from
+    block to block.  Where no conversation is longer than a block, the plan without it
+    is a chain of windows after a single shuffle, with equal results.
+    """
+    linked = link_turns(turns, keys, size, blocked=blocked)
     in_order = block_window(keys, ["_block"], ["pos"])
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -121,7 +138,8 @@ def lay_out(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BL
         )
         .withColumn("resets", F.coalesce(F.col("kind").isin("Overlapping", "Interruption"), F.lit(False)))
     )
-    groups = cut_lineage(groups)
+    if blocked:
+        groups = cut_lineage(groups)
 
     # Elapsed speech before each group, and the last resetting group before it.
     whole = F.floor(F.col("ticks") / F.lit(TICKS_PER_CS)).cast("bigint")
@@ -131,19 +149,28 @@ def lay_out(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BL
         F.col("resets"),
         F.struct("pos", F.col("elapsed").alias("elapsed"), after(0).alias("floor0"), after(1).alias("floor1")),
     )
-    summed = carry_over(groups, keys, ["_block"], {"_base": ("sum", F.col("step"))})
-    timed = (
-        groups.withColumn("_upto", F.sum("step").over(upto))
-        .join(summed, [*keys, "_block"], "left")
-        .withColumn("elapsed", F.coalesce("_base", F.lit(0)) + F.col("_upto"))
-        .withColumn("_memo", memo)
-    )
-    reset_before = carry_over(timed.select(*keys, "_block", "_memo"), keys, ["_block"], {"_earlier": ("max", F.col("_memo"))})
-    timed = (
-        timed.withColumn("_near", F.max("_memo").over(before))
-        .join(reset_before, [*keys, "_block"], "left")
-        .withColumn("_last", F.coalesce("_near", "_earlier"))
-        .select(*keys, "_block", "pos", "ticks", "kind", "ticks2", "ratio2", "resets", "span", "elapsed", "step", "_last")
+    timed = groups.withColumn("_upto", F.sum("step").over(upto))
+    if blocked:
+        summed = carry_over(groups, keys, ["_block"], {"_base": ("sum", F.col("step"))})
+        timed = timed.join(summed, [*keys, "_block"], "left")
+        timed = timed.withColumn("elapsed", F.coalesce("_base", F.lit(0)) + F.col("_upto"))
+    else:
+        timed = timed.withColumn("elapsed", F.col("_upto"))
+    timed = timed.withColumn("_memo", memo)
+    nearest = F.max("_memo").over(before)
+    if blocked:
+        reset_before = carry_over(
+            timed.select(*keys, "_block", "_memo"), keys, ["_block"], {"_earlier": ("max", F.col("_memo"))}
+        )
+        timed = (
+            timed.withColumn("_near", nearest)
+            .join(reset_before, [*keys, "_block"], "left")
+            .withColumn("_last", F.coalesce("_near", "_earlier"))
+        )
+    else:
+        timed = timed.withColumn("_last", nearest)
+    timed = timed.select(
+        *keys, "_block", "pos", "ticks", "kind", "ticks2", "ratio2", "resets", "span", "elapsed", "step", "_last"
     )
     opening = F.col("_last").isNull()
     offset = F.col("elapsed") - F.col("step")  # start of the group if nothing reset before
@@ -167,7 +194,9 @@ def lay_out(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BL
         ],
         *[F.when(F.col("resets"), ticks_to_cs(F.col(f"start{b}"))).alias(f"shift{b}") for b in (0, 1)],
     )
-    timed = cut_lineage(timed.drop("_last", "elapsed", "step"))
+    timed = timed.drop("_last", "elapsed", "step")
+    if blocked:
+        timed = cut_lineage(timed)
 
     constant = F.col("resets") & (F.col("bit0") == F.col("bit1"))
     swaps = (F.col("resets") & (F.col("bit0") != F.col("bit1")) & (F.col("bit0") == 1)).cast("bigint")
@@ -190,8 +219,11 @@ def lay_out(turns: DataFrame, keys: Sequence[str] = ("conv_id",), size: int = BL
         local = local.withColumn(
             f"_move{given}", F.when(F.col("resets"), F.when(F.col(f"_in{given}") == 1, F.col("shift1")).otherwise(F.col("shift0")))
         )
-    entry = _block_entries(local, keys)
-    solved = local.join(entry, [*keys, "_block"], "left")
+    if blocked:
+        solved = local.join(_block_entries(local, keys), [*keys, "_block"], "left")
+    else:
+        zero = F.lit(0).cast("bigint")
+        solved = local.select("*", zero.alias("_entry"), zero.alias("_base"))
     picked = lambda name: F.when(F.col("_entry") == 1, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
     solved = solved.withColumn("_bit", picked("_in")).withColumn("_move", picked("_move"))
     base_before = F.col("_base") + F.coalesce(F.sum("_move").over(before), F.lit(0))
@@ -268,8 +300,11 @@ def assemble_timeline(
     """Parsed turns ``(keys, pos, speaker, turn_type, ratio, emotion, text)`` to full turns.
 
     ``pos`` is dense and 1-based.  Only narrow columns go through the layout; text
-    joins its times at the end on ``(keys, pos)``.
+    joins its times at the end on ``(keys, pos)``.  The longest conversation is
+    measured first: only if it exceeds a block of ``size`` turns is the block-wise
+    plan needed.
     """
+    longest = turns.agg(F.max("pos")).first()[0] or 0
     narrow = turns.select(
         *keys,
         F.col("pos").cast("bigint").alias("pos"),
@@ -278,7 +313,7 @@ def assemble_timeline(
         F.col("ratio").cast("double").alias("ratio"),
         speech_ticks(F.col("text"), F.col("emotion")).alias("ticks"),
     )
-    times = lay_out(narrow, keys, size)
+    times = lay_out(narrow, keys, size, blocked=longest > size)
     absent = F.lit(None).cast("double")
     return turns.drop("turn_type").join(times, [*keys, "pos"]).select(
         *keys,

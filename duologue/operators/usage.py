@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 
+# Fixed value: the two field families of usage objects.
+USAGE_OBJECT = (
+    "prompt_tokens bigint, completion_tokens bigint, prompt_tokens_details struct<cached_tokens: bigint>, "
+    "prompt_token_count bigint, candidates_token_count bigint, cached_content_token_count bigint, thoughts_token_count bigint"
+)
 USAGE_FIELDS = ["input_tokens", "output_tokens", "cache_tokens", "total_tokens", "calls"]
 
 
@@ -28,19 +33,28 @@ def normalise_usage(log: DataFrame, column: str = "reply") -> DataFrame:
 
     A missing or null count is 0.  Event-stream replies carry no cache count.
     """
-    at = lambda path: F.get_json_object(F.col(column), path)
-    number = lambda *paths: F.coalesce(*[at(p).try_cast("bigint") for p in paths], F.lit(0).cast("bigint"))
-    plain, meta = at("$.usage"), at("$.usage_metadata")
-    empty = lambda v: v.isNull() | v.isin("{}", "null")
+    number = lambda *names: F.coalesce(*[F.col(f"_u.{n}") for n in names], F.lit(0).cast("bigint"))
     streamed = F.coalesce(F.col("streamed"), F.lit(False)) if "streamed" in log.columns else F.lit(False)
-    return log.where(~empty(plain) | ~empty(meta)).select(
-        *[c for c in log.columns if c not in (column, "streamed")],
-        number("$.usage.prompt_tokens", "$.usage_metadata.prompt_token_count").alias("input_tokens"),
-        number("$.usage.completion_tokens", "$.usage_metadata.candidates_token_count").alias("output_tokens"),
-        F.when(streamed, F.lit(0).cast("bigint"))
-        .otherwise(number("$.usage.prompt_tokens_details.cached_tokens", "$.usage_metadata.cached_content_token_count"))
-        .alias("cache_tokens"),
-        number("$.usage_metadata.thoughts_token_count").alias("thinking_tokens"),
+    kept = [c for c in log.columns if c not in (column, "streamed")]
+    # The reply is parsed once; its usage object, a short text, is parsed again by type.
+    outer = log.withColumn("_r", F.from_json(column, "usage string, usage_metadata string"))
+    found = outer.withColumn(
+        "_u",
+        F.from_json(
+            F.coalesce(F.nullif(F.col("_r.usage"), F.lit("{}")), F.nullif(F.col("_r.usage_metadata"), F.lit("{}"))), USAGE_OBJECT
+        ),
+    )
+    # Explode instead of a filter, which would move below the parsing and repeat it.
+    present = found.select(
+        *kept, streamed.alias("_streamed"), F.explode(F.when(F.col("_u").isNotNull(), F.array("_u"))).alias("_u")
+    )
+    cached = number("prompt_tokens_details.cached_tokens", "cached_content_token_count")
+    return present.select(
+        *kept,
+        number("prompt_tokens", "prompt_token_count").alias("input_tokens"),
+        number("completion_tokens", "candidates_token_count").alias("output_tokens"),
+        F.when(F.col("_streamed"), F.lit(0).cast("bigint")).otherwise(cached).alias("cache_tokens"),
+        number("thoughts_token_count").alias("thinking_tokens"),
     )
 
 

@@ -16,6 +16,8 @@ def build_session(app: str = "duologue", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
