@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,16 +27,19 @@ def build_session(app: str = "duologue", cpus: int | str = "*", **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="duologue-checkpoint-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="duologue-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_folder()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -76,6 +76,6 @@ def stored_turns(documents: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_conversations(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return stored_turns(whole.select(F.input_file_name().alias("file"), "value"))
 
