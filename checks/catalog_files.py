@@ -109,14 +109,20 @@ def register(q) -> None:
         """SELECT conversation_id || '__' || m || '_agent' AS variant, seq, word, "start", "end", CASE WHEN speaker = m THEN 'SPEAKER_MAIN' ELSE 'SPEAKER_OTHER' END AS label
            FROM merged_words, (VALUES ('user1'), ('user2')) x(m)""",
     )
+    nothing = lambda kind: F.lit(None).cast(kind)
     q(
         "segments_transcripts",
-        lambda v: assembly.segments(v.scheduled, USERS).select("variant", "speaker", "label", "start", "end").join(
-            assembly.transcript_parts(assembly.channel_variants(v.merged_words, USERS)), ["variant", "label"]
+        lambda v: assembly.segments(v.scheduled, USERS)
+        .select("variant", "label", "speaker", "start", "end", nothing("bigint").alias("part"), nothing("string").alias("transcript"))
+        .unionByName(
+            assembly.transcript_parts(assembly.channel_variants(v.merged_words, USERS)).select(
+                "variant", "label", nothing("string").alias("speaker"), nothing("double").alias("start"), nothing("double").alias("end"), "part", "transcript"
+            )
         ),
-        """SELECT s.conversation_id || '__' || m || '_agent' AS variant, s.speaker, CASE WHEN s.speaker = m THEN 'SPEAKER_MAIN' ELSE 'SPEAKER_OTHER' END AS label, s."start", s."end", CAST(0 AS BIGINT) AS part, t.transcript
-           FROM scheduled s, (VALUES ('user1'), ('user2')) x(m), (SELECT conversation_id, speaker, string_agg(word, ' ' ORDER BY seq) AS transcript FROM merged_words GROUP BY 1, 2) t
-           WHERE t.conversation_id = s.conversation_id AND t.speaker = s.speaker""",
+        """SELECT conversation_id || '__' || m || '_agent' AS variant, CASE WHEN speaker = m THEN 'SPEAKER_MAIN' ELSE 'SPEAKER_OTHER' END AS label, speaker, "start", "end", CAST(NULL AS BIGINT) AS part, CAST(NULL AS VARCHAR) AS transcript
+           FROM scheduled, (VALUES ('user1'), ('user2')) x(m)
+           UNION ALL SELECT conversation_id || '__' || m || '_agent', CASE WHEN speaker = m THEN 'SPEAKER_MAIN' ELSE 'SPEAKER_OTHER' END, NULL, NULL, NULL, (seq - 1) // 10000, string_agg(word, ' ' ORDER BY seq)
+           FROM merged_words, (VALUES ('user1'), ('user2')) x(m) GROUP BY 1, 2, 6""",
     )
     q(
         "manifest_rows",

@@ -94,7 +94,7 @@ def register(q) -> None:
     q(
         "undecoded_audio_scan",
         lambda v: clip_sources.audio_files(v.spark, v.folder, "*.parquet").select(
-            F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length", F.octet_length("content").alias("n_bytes")
+            F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length"
         ),
     )
     q("voice_report_scan", stored_reports, f"""

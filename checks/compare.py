@@ -33,6 +33,11 @@ def rows(columns: list[str], data) -> list[tuple]:
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
+def kinds(columns: list[str], data) -> dict[str, list[str]]:
+    """Python types found in each column."""
+    return {c: sorted({type(r[i]).__name__ for r in data} - {"NoneType"}) for i, c in enumerate(columns)}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -55,7 +60,9 @@ def compare(spark, con, folder: str, name: str) -> tuple[str, int, float, str]:
         return "COLUMNS", len(got), spent, f"{sorted(df.columns)} != {sorted(names)}"
     a, b = rows(df.columns, got), rows(names, want)
     if a == b:
-        return "ok", len(got), spent, ""
+        mine, theirs = kinds(df.columns, got), kinds(names, want)
+        mixed = {k: (mine[k], theirs[k]) for k in mine if mine[k] != theirs.get(k)}
+        return "ok", len(got), spent, f"types differ: {mixed}" if mixed else ""
     only_a = [r for r in a if r not in b][:2] if len(a) < 20000 else a[:2]
     only_b = [r for r in b if r not in a][:2] if len(b) < 20000 else b[:2]
     return "DIFF", len(got), spent, f"{sorted(names)} {len(a)} vs {len(b)}\n  spark {str(only_a)[:700]}\n  sql   {str(only_b)[:700]}"

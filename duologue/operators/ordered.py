@@ -128,3 +128,27 @@ def with_halo(
     return df.select("*", F.explode(copies).alias("_copy")).select(
         *df.columns, F.col("_copy.b").alias("_block"), F.col("_copy.own").alias("_own")
     )
+
+
+def number_by_text(
+    df: DataFrame, keys: Sequence[str], column: str, name: str, lengths: Sequence[int] = (3, 6, 12)
+) -> DataFrame:
+    """1-based row number per key in the order of a text column.
+
+    Leading characters of growing length form nested blocks, so that neither texts
+    with a common head nor texts that differ early meet in one task.
+    """
+    heads = [f"_head{n}" for n in lengths]
+    cut = df.select("*", *[F.substring(column, 1, n).alias(h) for n, h in zip(lengths, heads, strict=True)])
+    out = number_rows(cut, [*keys, *heads[:-1]], [column], heads[-1:], name)
+    for level in range(len(heads) - 1):
+        scope = [*keys, *heads[:level]]
+        before = carry_over(cut, scope, [heads[level]], {"_before": ("sum", F.lit(1).cast("bigint"))})
+        out = out.join(before, [*scope, heads[level]], "left")
+        out = out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
+    return out.select(*df.columns, name)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a join side for broadcast only after counting that it has few rows."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import lookup, round_half_up, strip
-from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, number_rows, running, with_halo
+from duologue.operators.ordered import (
+    BLOCK_ROWS,
+    block_of,
+    block_window,
+    broadcast_if_small,
+    number_rows,
+    running,
+    with_halo,
+)
 
 INSTANCE = "corpus_combination_id"
 MONEY = "decimal(28,3)"  # exact seconds, so that sums do not depend on their order
@@ -163,15 +171,15 @@ def language_totals(progress: DataFrame) -> DataFrame:
 
 def headroom(progress: DataFrame, totals: DataFrame, reserved: DataFrame | None = None) -> DataFrame:
     """Seconds an instance and its language may still take; no language cap is infinite."""
-    joined = progress.withColumn("_language", F.lower("language")).join(
+    # Languages are few and each holds very many instances: count, then broadcast.
+    caps = broadcast_if_small(
         totals.select(
             F.col("language").alias("_language"),
             F.col("target_sec").alias("_lt"),
             F.col("generated_sec").alias("_lg"),
-        ),
-        "_language",
-        "left",
+        )
     )
+    joined = progress.withColumn("_language", F.lower("language")).join(caps, "_language", "left")
     if reserved is None:
         held, held_language = F.lit(0.0), F.lit(0.0)
     else:

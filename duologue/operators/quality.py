@@ -8,7 +8,7 @@ message``; ``validate_turns`` is their union.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,23 +97,22 @@ def row_rules() -> Mapping[str, list[Column]]:
     }
 
 
-def qa_required_fields(turns: DataFrame) -> DataFrame:
-    """Absent keys; a key that is present with null is fine."""
+def _required() -> Column:
     missing = missing_fields(F.col("present_keys"))
-    return _explode(
-        turns,
-        [
-            _issue(
-                "ERROR",
-                "required_fields",
-                F.size(missing) > 0,
-                say("Missing fields: {}", F.array_join(missing, ", ")),
-                F.coalesce(F.col("turn_id"), F.lit("<missing>")),
-            )
-        ],
+    return _issue(
+        "ERROR",
+        "required_fields",
+        F.size(missing) > 0,
+        say("Missing fields: {}", F.array_join(missing, ", ")),
+        F.coalesce(F.col("turn_id"), F.lit("<missing>")),
     )
 
 
+def qa_required_fields(turns: DataFrame) -> DataFrame:
+    """Absent keys; a key that is present with null is fine."""
+    return _explode(turns, [_required()])
+
+
 def well_formed(turns: DataFrame) -> DataFrame:
     """Turns with every key; the other row rules only read these."""
     return turns.where(F.size(missing_fields(F.col("present_keys"))) == 0)
@@ -135,11 +134,15 @@ def qa_duplicate_id(turns: DataFrame) -> DataFrame:
     )
 
 
-def qa_rows(turns: DataFrame, rules: list[str] | None = None) -> DataFrame:
-    """All (or some) one-turn rules in a single scan."""
+def qa_rows(turns: DataFrame, rules: list[str] | None = None, *, required: bool = False) -> DataFrame:
+    """All (or some) one-turn rules in a single scan; ``required`` adds the absent keys.
+
+    A turn that lacks keys only reports that.
+    """
     table = row_rules()
-    picked = [issue for name in (rules or list(table)) for issue in table[name]]
-    return _explode(well_formed(turns), picked)
+    whole = F.size(missing_fields(F.col("present_keys"))) == 0
+    picked = [F.when(whole, issue) for name in (rules or list(table)) for issue in table[name]]
+    return _explode(turns, [_required(), *picked] if required else picked)
 
 
 # ---- pair rules --------------------------------------------------------------
@@ -379,9 +382,8 @@ def validate_turns(
 ) -> DataFrame:
     """Every rule over every turn, as one long issue table."""
     parts: list[DataFrame] = [
-        qa_required_fields(turns),
+        qa_rows(turns, required=True),
         qa_duplicate_id(turns),
-        qa_rows(turns),
         qa_pairs(turns, time_field=time_field, tolerance=tolerance),
         qa_conversations(turns, time_field=time_field, low=low, high=high, minimum=minimum),
     ]
@@ -530,6 +532,3 @@ def faithfulness(lines: DataFrame, turns: DataFrame) -> DataFrame:
     return joined.select("conv_id", "pos", problem.alias("problem"), distance.alias("edit_distance")).where(
         c("problem").isNotNull()
     )
-
-
-Rule = Callable[[DataFrame], DataFrame]

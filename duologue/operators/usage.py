@@ -113,12 +113,17 @@ def score_rows(
     make_model: Callable[[], Callable[[str], str]],
     key: str = "request_id",
     column: str = "prompt",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Apply a text-to-text model to every request; replies keep the request key.
 
     ``make_model`` is called once per Python worker task.  A failing call yields a
-    row with its error, so one bad request does not fail the job.
+    row with its error, so one bad request does not fail the job.  Filter before
+    this step: nothing is pushed through Python.  ``partitions`` spreads costly
+    calls by key.
     """
+    if partitions:
+        requests = requests.repartition(partitions, key)
     key_type = requests.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import lookup, round_half_up, slug, strip
-from duologue.operators.ordered import block_of, number_rows
+from duologue.operators.ordered import block_of, broadcast_if_small, number_by_text, number_rows
 
 
 # ---- expressions -------------------------------------------------------------
@@ -89,8 +89,7 @@ def decode_labels(
     names = classes.where(F.col("column_name") == column).select(
         F.col("code").cast("string").alias("_code"), F.col("name").alias("_name")
     )
-    if names.limit(max_classes + 1).count() <= max_classes:
-        names = F.broadcast(names)
+    names = broadcast_if_small(names, max_classes)
     raw = F.col(column).cast("string")
     return (
         df.join(names, raw == F.col("_code"), "left")
@@ -143,16 +142,10 @@ def discarded_speakers(clips: DataFrame, winners: DataFrame) -> DataFrame:
     return clips.select("speaker_id").distinct().join(winners.select("speaker_id"), "speaker_id", "left_anti")
 
 
-def anonymised_folders(winners: DataFrame, *, bucket_chars: int = 8) -> DataFrame:
-    """Number the winners of each gender in speaker order: ``speaker_1``, ``speaker_2``...
-
-    Genders are few, so each is numbered through blocks of speaker-id prefixes.
-    """
-    blocked = winners.withColumn("_prefix", F.substring("speaker_id", 1, bucket_chars))
-    numbered = number_rows(blocked, ["gender"], ["speaker_id"], ["_prefix"], "_k")
-    return numbered.withColumn("folder", F.concat(F.lit("speaker_"), F.col("_k").cast("string"))).drop(
-        "_prefix", "_k"
-    )
+def anonymised_folders(winners: DataFrame) -> DataFrame:
+    """Number the winners of each gender in speaker order: ``speaker_1``, ``speaker_2``..."""
+    numbered = number_by_text(winners, ["gender"], "speaker_id", "_k")
+    return numbered.withColumn("folder", F.concat(F.lit("speaker_"), F.col("_k").cast("string"))).drop("_k")
 
 
 def voice_report(clips: DataFrame, winners: DataFrame, uploaded: int = 0) -> DataFrame:

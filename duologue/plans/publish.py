@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import round_half_up, strip
-from duologue.operators.ordered import number_rows
+from duologue.operators.ordered import number_by_text
 
 
 # ---- paths -------------------------------------------------------------------
@@ -135,15 +135,9 @@ def upload_plan(local: DataFrame, remote: DataFrame) -> DataFrame:
     return local.join(remote.select("path").distinct(), "path", "left_anti")
 
 
-def upload_batches(plan: DataFrame, batch: int = fv.UPLOAD_BATCH, *, block: Column | None = None) -> DataFrame:
-    """Number files by path and cut them into batches.
-
-    Files are numbered through blocks of equal leading characters, so no task sees
-    the whole listing.  Pass another ``block`` that follows path order if paths
-    share a long head.
-    """
-    blocked = plan.withColumn("_blk", block if block is not None else F.substring("path", 1, 24))
-    numbered = number_rows(blocked, [], ["path"], ["_blk"], "file_no").drop("_blk")
+def upload_batches(plan: DataFrame, batch: int = fv.UPLOAD_BATCH) -> DataFrame:
+    """Number files by path and cut them into batches; no task sees the whole listing."""
+    numbered = number_by_text(plan, [], "path", "file_no", (4, 16, 48))
     return numbered.withColumn("batch_no", F.floor((F.col("file_no") - 1) / F.lit(batch)).cast("bigint"))
 
 
