@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
@@ -322,27 +322,34 @@ def failure_runs(
     outcomes: DataFrame,
     order: Sequence[str],
     blocks: Sequence[str],
-    size: int = BLOCK_ROWS,
     open_runs: DataFrame | None = None,
 ) -> DataFrame:
     """Length of the run of failures ending at every outcome (0 on acceptance).
 
-    ``open_runs`` (``open_failures``, ``attempts`` per instance) continues runs that an
-    earlier batch left open.
+    One pass: rows are numbered inside ``(instance, block)``; one row per block carries
+    the count and the place of the latest acceptance forward.  ``open_runs``
+    (``open_failures``, ``attempts`` per instance) continues runs that an earlier batch
+    left open.
     """
-    numbered = number_rows(outcomes, [INSTANCE], order, blocks, "_n").withColumn("_blk", block_of(F.col("_n"), size))
-    last = F.when(F.col("accepted"), F.col("_n"))
-    marked = running(numbered, [INSTANCE], ["_n"], ["_blk"], {"_last": ("max", last)})
+    upto = block_window([INSTANCE], blocks, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = outcomes.select("*", F.count(F.lit(1)).over(upto).alias("_n"))
+    local = local.select("*", F.max(F.when(F.col("accepted"), F.col("_n"))).over(upto).alias("_near"))
+    ends = local.groupBy(INSTANCE, *blocks).agg(F.max("_n").alias("_rows"), F.max("_near").alias("_end"))
+    earlier = Window.partitionBy(INSTANCE).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    based = ends.withColumn("_base", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    entry = based.select(INSTANCE, *blocks, "_base", F.max(F.col("_base") + F.col("_end")).over(earlier).alias("_before"))
+    marked = local.join(entry, [INSTANCE, *blocks])
     held, seen = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
     if open_runs is not None:
         kept = open_runs.select(INSTANCE, F.col("open_failures").alias("_open"), F.col("attempts").alias("_seen"))
         marked = marked.join(kept, INSTANCE, "left")
         held, seen = F.coalesce("_open", held), F.coalesce("_seen", seen)
-    run = F.when(F.col("_last").isNull(), F.col("_n") + held).otherwise(F.col("_n") - F.col("_last"))
-    return (
-        marked.withColumn("attempt_no", F.col("_n") + seen)
-        .withColumn("consecutive_failures", run)
-        .drop("_n", "_blk", "_last", "_open", "_seen")
+    number = F.col("_base") + F.col("_n")
+    last = F.coalesce(F.col("_base") + F.col("_near"), F.col("_before"))
+    return marked.select(
+        *outcomes.columns,
+        (number + seen).alias("attempt_no"),
+        F.when(last.isNull(), number + held).otherwise(number - last).alias("consecutive_failures"),
     )
 
 
