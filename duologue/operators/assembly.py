@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions.text import round_half_up, squeeze, strip
 from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, number_rows
+from duologue.session import cut_lineage
 
 EXACT = "decimal(28,6)"
 
@@ -63,7 +64,7 @@ def script_turns(scripts: DataFrame) -> DataFrame:
     move below the parsing and parse every document again.
     """
     kept = F.when(F.col("drop_reason").isNull(), F.col("turns"))
-    return scripts.select("conversation_id", "language", F.posexplode(kept).alias("_p", "_t")).select(
+    return scripts.select("conversation_id", "language", F.posexplode_outer(kept).alias("_p", "_t")).where("_t is not null").select(
         "conversation_id", "language", (F.col("_p") + 1).cast("bigint").alias("pos"), "_t.*"
     )
 
@@ -132,7 +133,9 @@ def align_words(
         .select(*keys, "speaker", "duration", F.split("_text", " ", -1).alias("_words"))
         .select("*", F.size("_words").alias("_n"))
     )
-    spread = split.select(*keys, "speaker", "duration", "_n", F.posexplode("_words").alias("_i", "word")).where("word != ''")
+    # The outer form: Spark guards a plain explode with a filter on the array's size and
+    # moves it below the shuffle, splitting every text once more.
+    spread = split.select(*keys, "speaker", "duration", "_n", F.posexplode_outer("_words").alias("_i", "word")).where("word != ''")
 
     clip = Window.partitionBy(*keys)
     chars = F.length("word").cast("bigint")
@@ -155,7 +158,8 @@ def align_words(
 def merge_alignments(words: DataFrame, scheduled: DataFrame, keys: Sequence[str] = ("conversation_id",), *, block_sec: float = 60.0) -> DataFrame:
     """Words of both speakers on the conversation's clock, numbered in time order.
 
-    Minutes of the conversation are the blocks of the numbering.
+    Minutes of the conversation are the blocks of the numbering.  It reads its input
+    twice, and the words are costly to make, so they are written out first.
     """
     starts = scheduled.select(*keys, "pos", F.col("start").alias("_clip_start"))
     moved = words.join(starts, [*keys, "pos"]).select(
@@ -167,7 +171,7 @@ def merge_alignments(words: DataFrame, scheduled: DataFrame, keys: Sequence[str]
         round_half_up(F.col("start") + F.col("_clip_start"), 3).alias("start"),
         round_half_up(F.col("end") + F.col("_clip_start"), 3).alias("end"),
     )
-    blocked = moved.withColumn("_blk", F.floor(F.col("start") / F.lit(block_sec)))
+    blocked = cut_lineage(moved.withColumn("_blk", F.floor(F.col("start") / F.lit(block_sec))))
     return number_rows(blocked, keys, ["start", "pos", "word_no"], ["_blk"], "seq").drop("_blk")
 
 

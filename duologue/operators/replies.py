@@ -212,7 +212,7 @@ def edit_patches(bodies: DataFrame, column: str = "body") -> DataFrame:
         .otherwise(F.try_element_at(lists, F.lit(1)))
     )
     rows = parsed.select(
-        *bodies.columns, F.posexplode(objects(listed)).alias("_n", "_e")
+        *bodies.columns, F.posexplode_outer(objects(listed)).alias("_n", "_e")
     )
     e = F.col("_e")
     action = choice(F.lower(text_field(e, "action", "replace")), ["replace", "delete"], "replace")

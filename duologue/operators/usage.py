@@ -46,8 +46,8 @@ def normalise_usage(log: DataFrame, column: str = "reply") -> DataFrame:
     )
     # Explode instead of a filter, which would move below the parsing and repeat it.
     present = found.select(
-        *kept, streamed.alias("_streamed"), F.explode(F.when(F.col("_u").isNotNull(), F.array("_u"))).alias("_u")
-    )
+        *kept, streamed.alias("_streamed"), F.explode_outer(F.array("_u")).alias("_u")
+    ).where("_u is not null")
     cached = number("prompt_tokens_details.cached_tokens", "cached_content_token_count")
     return present.select(
         *kept,
