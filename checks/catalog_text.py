@@ -88,19 +88,20 @@ def all_prompts(v: Views):
     return merged
 
 
-def make_echo():
-    """A stand-in model: fails on some prompts, answers the others."""
+def scored(v: Views):
+    rows = requests.prompt_table(requests_input(v), "generator", INSTANCE)
 
-    def answer(prompt: str) -> str:
-        if "Normal" in prompt:
-            raise RuntimeError("HTTP 429 too many requests")
-        return f'{{"chars": {len(prompt)}}}'
+    # Nested, so that it travels to the Python workers by value.
+    def make_echo():
+        """A stand-in model: fails on some prompts, answers the others."""
 
-    return answer
+        def answer(prompt: str) -> str:
+            if "Normal" in prompt:
+                raise RuntimeError("HTTP 429 too many requests")
+            return f'{{"chars": {len(prompt)}}}'
 
+        return answer
 
-def scored(v: Views):
-    rows = requests.prompt_table(requests_input(v), "generator", INSTANCE)
     done = usage.score_rows(rows, make_echo, INSTANCE, "prompt")
     return done.select(INSTANCE, "reply", "error_type", usage.limit_error(F.lit(None).cast("int"), c("error_type"), c("error")).alias("is_limit"))
 
