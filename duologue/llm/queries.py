@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, pii, repetition, url_rules, workers
+from duologue.llm import language, pii, repetition, simhash, url_rules, workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,14 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(_table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("group").alias("component_id"),
+    )
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = workers.hash_remainder(F.col("doc_id"), 4) == 2
@@ -49,7 +57,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op5_repetition, op9_language)
+    for f in (op1_url_rules, op2_personal_data, op5_repetition, op6_simhash, op9_language)
 }
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from itertools import chain, count
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duologue.session import checkpoint_root
+
 #: Words are runs of anything but space and the control characters 9 to 13.
 #: ``bytes.split`` cuts at exactly these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -109,3 +112,24 @@ def word_count(text: Column) -> Column:
 def hash_remainder(doc_id: Column, modulus: int) -> Column:
     """CRC-32 of the id as text, by ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read back.
+
+    Cuts the lineage: what comes after reads files that outlive any executor, and nothing
+    before is computed a second time.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/llm-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """A stored table marked for broadcast if its rows, measured, stay below ``limit`` bytes; else as it is.
+
+    Whoever joins with it gets the same rows either way.
+    """
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 24 for c in df.columns), F.lit(0))
+    total = df.select(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df
