@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, pii, repetition, simhash, url_rules, workers
+from duologue.llm import language, mixing, packing, pii, repetition, simhash, url_rules, workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan(_table(spark, sf_dir, "documents"))
+    return plan.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = workers.hash_remainder(F.col("doc_id"), 4) == 2
@@ -55,9 +60,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op5_repetition, op6_simhash, op9_language)
+    for f in (op1_url_rules, op2_personal_data, op5_repetition, op6_simhash, op8_mixing, op9_language, op10_packing)
 }
 
 
