@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, mixing, packing, pii, repetition, simhash, url_rules, workers
+from duologue.llm import language, mixing, packing, pii, repetition, simhash, topk, url_rules, workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
@@ -66,7 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op5_repetition, op6_simhash, op8_mixing, op9_language, op10_packing)
+    for f in (op1_url_rules, op2_personal_data, op4_topk, op5_repetition, op6_simhash, op8_mixing, op9_language, op10_packing)
 }
 
 
@@ -106,5 +110,20 @@ SELECT page_id, host, path, {case(lambda v, r: r, 'NULL')} AS rule,
 FROM parts"""
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _url_sql()}
+    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL}
