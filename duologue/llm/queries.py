@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, mixing, packing, pii, repetition, simhash, topk, url_rules, workers
+from duologue.llm import language, mixing, packing, pii, repetition, simhash, topk, url_rules, warc, workers
+from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_root(spark)}/warc-{uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan(_table(spark, sf_dir, "documents"))
     return plan.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
@@ -70,7 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op4_topk, op5_repetition, op6_simhash, op8_mixing, op9_language, op10_packing)
+    for f in (op1_url_rules, op2_personal_data, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing)
 }
 
 
@@ -125,5 +135,19 @@ FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10"""
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+  SELECT *, n >= 100 AND page_id > min(page_id) OVER (PARTITION BY digest) AS again,
+    min(page_id) OVER (PARTITION BY digest) AS first_id
+  FROM p
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first_id END AS refers_to
+FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL}
+    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL, "op7_warc": WARC_SQL}

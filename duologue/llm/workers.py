@@ -133,3 +133,15 @@ def small_side(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
     width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 24 for c in df.columns), F.lit(0))
     total = df.select(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
     return F.broadcast(df) if total <= limit else df
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
+    """Inner join of ``left`` with a stored table that has one row per key and in ``n`` how many of the ``total`` left rows it meets.
+
+    Keys that meet at least one in ``share`` rows, of which there are ``share`` at most, are
+    broadcast, so that no task gets all rows of a frequent key; the others are shuffled.
+    """
+    frequent = F.col("n") * share >= total
+    hot = F.broadcast(right.where(frequent))
+    rest = left.join(F.broadcast(right.where(frequent).select(key)), key, "left_anti")
+    return left.join(hot, key).unionByName(rest.join(right.where(~frequent), key)).drop("n")
