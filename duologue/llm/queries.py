@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, mixing, packing, pii, repetition, simhash, topk, url_rules, warc, workers
+from duologue.llm import language, mixing, packing, pii, repetition, simhash, suffix_tree, topk, url_rules, warc, workers
 from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = suffix_tree.score(docs, workers.hash_remainder(F.col("doc_id"), 7) != 2)
+    return scored.withColumnRenamed("key", "doc_id")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -80,7 +86,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing)
+    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing)
 }
 
 
