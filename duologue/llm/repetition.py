@@ -121,7 +121,8 @@ def _measure(texts: list[bytes], docs: list[list[bytes]], lengths: tuple[int, ..
     covered: dict[int, np.ndarray] = {}
     repeat_words = np.zeros(len(docs), np.int64)
     for n in range(2, max((BASE_WINDOW, *lengths)) + 1):
-        rolling[: len(ids) - n + 1] = rolling[: max(0, len(ids) - n + 1)] * MULTIPLIER + mixed[n - 1 :]
+        fit = max(0, len(ids) - n + 1)
+        rolling[:fit] = rolling[:fit] * MULTIPLIER + mixed[n - 1 : n - 1 + fit]
         if n != BASE_WINDOW and n not in lengths:
             continue
         codes = np.where(left >= n, (rolling ^ salt) | np.uint64(1), np.uint64(0))

@@ -3,8 +3,8 @@
 Tokens are lower-cased words and one end per document.  The root of the tree predicts by
 add-one counts.  Longer contexts (the last one, two, three tokens) are grown level by
 level: a context is tried if it makes up at least ``SHARE`` of the training tokens, and
-stays if its next tokens diverge from what its longest kept suffix predicts by more
-log-likelihood than it has parameters.  A kept context's distribution is smoothed with its
+stays if its next tokens diverge from what its longest kept suffix predicts: if each is
+likelier given the context's other tokens, in total, than by the suffix alone.  A kept context's distribution is smoothed with its
 suffix's, and a token is scored in the longest kept suffix of what comes before it.
 
 What is broadcast has a bound in shares of the corpus: words of at least ``FREQUENT``
@@ -216,8 +216,12 @@ def _level_counts(rows: DataFrame, model: Model, depth: int) -> DataFrame:
     return workers.stored(counted.groupBy("older", "context", "symbol").agg(F.sum("n").alias("n")))
 
 
-def _diverging(counts: DataFrame, model: Model, suffix: dict[int, int]) -> dict[int, int]:
-    """Kept contexts of a level, with their counts."""
+def _diverging(counts: DataFrame, model: Model, suffix: dict[int, int], smoothing: float) -> dict[int, int]:
+    """Kept contexts of a level, with their counts.
+
+    The log-likelihood gain of a token is what the context's other tokens and its suffix
+    predict for it, against its suffix alone; what was seen once proves nothing.
+    """
     sums = {r.context: r.c for r in counts.where("not older").groupBy("context").agg(F.sum("n").alias("c")).collect()}  # at most 1 / SHARE
     sent = counts.sparkSession.sparkContext.broadcast((model, suffix, sums))
 
@@ -227,7 +231,8 @@ def _diverging(counts: DataFrame, model: Model, suffix: dict[int, int]) -> dict[
         nodes, at = np.unique(context, return_inverse=True)
         before = tree.state[np.array([below[c] for c in nodes.tolist()], np.int64)][at]
         whole = np.array([total[c] for c in nodes.tolist()], float)[at]
-        gain = n * np.log(n / whole / tree.probability(before, symbol)) - 1
+        chance = tree.probability(before, symbol)
+        gain = n * np.log((n - 1 + smoothing * chance) / ((whole - 1 + smoothing) * chance))
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.bincount(at, gain, len(nodes)))], ["context", "gain"])
 
     terms = workers.map_batches(counts.where("not older").select("context", "symbol", "n"), gains, "context long, gain double")
@@ -257,7 +262,7 @@ def train(
         model.parent = np.append(model.parent, np.zeros(len(nodes), np.int64))
         model.back = np.append(model.back, np.ones(len(nodes)))
         counts = _level_counts(rows, model, depth)
-        kept = _diverging(counts, model, suffix)
+        kept = _diverging(counts, model, suffix, smoothing)
         if kept:
             # entries take a share of the tokens each, so a level has at most 1 / share
             wanted = counts.where("not older").where(F.col("n") >= entry * model.tokens)

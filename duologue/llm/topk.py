@@ -70,15 +70,19 @@ def statistics(matrix: np.ndarray, segments: int) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows of ``a`` with all of ``b``; both hold whole numbers as doubles."""
+    """Exact integer inner products of all rows of ``a`` with all of ``b``; both hold whole numbers as doubles.
+
+    A product beyond the range of a long is the nearest long.
+    """
     bound = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if bound < 2.0**53:
         return (a @ b.T).astype(np.int64)
     if bound < 2.0**62:
         return np.einsum("ij,kj->ik", a.astype(np.int64), b.astype(np.int64))
     whole = [[int(x) for x in row] for row in b]
-    exact = [[sum(int(x) * y for x, y in zip(row, other, strict=True)) for other in whole] for row in a]
-    return np.array(exact, np.int64).reshape(len(a), len(b))  # overflows loudly if a score is no long
+    limit = 1 << 63
+    exact = [[min(limit - 1, max(-limit, sum(int(x) * y for x, y in zip(row, other, strict=True)))) for other in whole] for row in a]
+    return np.array(exact, np.int64).reshape(len(a), len(b))
 
 
 @dataclass
