@@ -38,7 +38,8 @@ SMOOTHING = 16.0
 END = b" "
 #: Distinct words or codes a task holds before it hands them on.
 HELD = 200_000
-PASS_TOKENS = 400_000
+#: Bytes of text that are split into words at once; a longer document makes a pass of its own.
+PASS_BYTES = 2 << 20
 
 
 def _lower_words(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -157,22 +158,22 @@ def _model(vocab: DataFrame, frequent: float) -> Model:
 
 def _flat(model: Model, texts: list[bytes], depth: int) -> Iterator[tuple[int, list[list[bytes]], np.ndarray, np.ndarray, np.ndarray]]:
     """Passes over documents: the first one's number, their words, rows of all tokens (-1: rare), symbols with ends before each document, places of the tokens there."""
-    docs = list(_lower_words(texts))
     end = model.words.get(END, -1)
-    for a, b in workers.groups_of([len(d) + 1 for d in docs], PASS_TOKENS):
-        sizes = np.array([len(d) + 1 for d in docs[a:b]], np.int64)
+    for a, b in workers.groups_of([len(t) for t in texts], PASS_BYTES):
+        docs = list(_lower_words(texts[a:b]))
+        sizes = np.array([len(d) + 1 for d in docs], np.int64)
         rows = np.empty(int(sizes.sum()), np.int64)
         upto = np.cumsum(sizes)
         inner = np.ones(len(rows), bool)
         inner[upto - 1] = False
         get = model.words.get
-        rows[inner] = np.fromiter((get(w, -1) for d in docs[a:b] for w in d), np.int64, int(inner.sum()))
+        rows[inner] = np.fromiter((get(w, -1) for d in docs for w in d), np.int64, int(inner.sum()))
         rows[~inner] = end
         symbols = np.where(rows >= 0, model.symbol[rows], model.rare)
         places = np.arange(len(rows)) + depth * np.repeat(np.arange(1, len(sizes) + 1), sizes)
         flat = np.full(len(rows) + depth * len(sizes), model.symbol[end] if end >= 0 else model.rare)
         flat[places] = symbols
-        yield a, docs[a:b], rows, flat, places
+        yield a, docs, rows, flat, places
 
 
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
