@@ -167,10 +167,10 @@ def register(q) -> None:
     )
     q(
         "progress_rollup",
-        lambda v: v.progress.join(
-            planning.topic_parts(v.accepted_indexed).where("part = 0").select(INSTANCE, F.array_join("topics", "|").alias("topics")), INSTANCE
-        ),
-        """SELECT corpus_combination_id, sum(duration_sec) AS generated_sec, count(*) AS conversation_count, string_agg(title, '|' ORDER BY "index") AS topics FROM accepted GROUP BY 1""",
+        # all titles, as rows: an instance may have any number
+        lambda v: v.progress.join(v.accepted_indexed.select(INSTANCE, "index", "title"), INSTANCE),
+        """SELECT corpus_combination_id, generated_sec, conversation_count, "index", title FROM accepted
+           JOIN (SELECT corpus_combination_id, sum(duration_sec) AS generated_sec, count(*) AS conversation_count FROM accepted GROUP BY 1) USING (corpus_combination_id)""",
     )
     q(
         "budget_headroom",

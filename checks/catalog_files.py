@@ -44,18 +44,14 @@ def pad(x: str) -> str:
 
 def payload(v: Views):
     """Stored documents of the laid-out conversations, number = instance."""
-    heads = v.corpus.select(
-        c(INSTANCE).alias("conv_id"), INSTANCE, F.lit(1).alias("index"), "language", "agent_emotion", "user_emotion", "agent_accent", "user_accent", "gender_pair",
-        F.lit("a title").alias("title"), F.lit(None).cast("string").alias("context"), F.lit("advice").alias("conversation_type"), "duration_sec",
-        F.lit(True).alias("passed"), F.lit(False).alias("include_numbers"),
-    )
-    documents = requests.turn_parts(v.turns_timed, ["turn_id", "speaker", "turn_type", "overlaps_with", "interrupted"])
-    return publish.payload_parts(heads, documents)
+    documents = requests.turn_documents(v.turns_timed, ["turn_id", "speaker", "turn_type", "overlaps_with", "interrupted"])
+    heads = layout(v).withColumn("conv_id", c(INSTANCE)).withColumn("duration_sec", c("duration_sec").cast("double"))
+    return publish.payloads(heads, documents)
 
 
 def sidecar_input(v: Views):
     stats = quality.conversation_stats(v.turns_timed).drop("duration_sec", "n_turns")
-    one = layout(v).groupBy(INSTANCE).agg(F.min_by(F.struct(*[x for x in layout(v).columns if x != INSTANCE]), "index").alias("r")).select(INSTANCE, "r.*")
+    one = layout(v)
     k = c(INSTANCE) % 4
     return one.join(stats, one[INSTANCE] == stats["conv_id"]).select(
         one["*"], *fv.TURN_TYPES, F.when(k > 0, c("duration_sec") + 10).alias("target_sec"), k.alias("generation_attempts"), F.when(k > 1, k).alias("format_attempts"),
@@ -63,6 +59,13 @@ def sidecar_input(v: Views):
     )
 
 
+def spilled(v: Views):
+    """Segments of the output channels, some of them in the other one's."""
+    placed = assembly.output_channels(assembly.segments(v.scheduled, USERS))
+    other = F.when(c("channel") == "main", "user").otherwise("main")
+    return placed.withColumn("channel", F.when(c("pos") % 29 == 3, other).otherwise(c("channel")))
+
+
 def line(label: str, x: str) -> str:
     return f"'{label}: ' || {x}"
 
@@ -83,8 +86,8 @@ SIDECAR = ", ".join([
     line("target_duration_sec", dec("target_sec")), line("target_duration_min", dec(rnd("target_sec / 60.0::DOUBLE"))),
     "chr(10) || '## Turn counts'", "'total_turns: ' || (n1 + n2 + n3 + n4)", "'backchannel_count: ' || n4", "'overlap_count: ' || n2", "'interruption_count: ' || n3", "'normal_count: ' || n1",
     "chr(10) || '## Retries'", "'generation_retries: ' || greatest(0, k - 1)", "'format_retries: ' || CASE WHEN k > 1 THEN k - 1 ELSE 0 END",
-    "chr(10) || '## Content validation'", "'verdict: ' || CASE WHEN k <> 2 THEN 'PASS' ELSE '(bypassed or unavailable)' END",
-    "chr(10) || '## Format validation'", "'verdict: (bypassed or unavailable)'",
+    "chr(10) || '## Content validation'", "'verdict: ' || CASE WHEN k <> 2 THEN 'PASS' ELSE 'none given' END",
+    "chr(10) || '## Format validation'", "'verdict: none given'",
 ])
 
 
@@ -131,9 +134,12 @@ def register(q) -> None:
     )
     q(
         "crosstalk_purity",
-        lambda v: assembly.crosstalk_purity(assembly.segments(v.scheduled, USERS)),
-        """SELECT conversation_id || '__' || m || '_agent' AS variant, 0.0::DOUBLE AS main_crosstalk, 0.0::DOUBLE AS user_crosstalk, TRUE AS pass, FALSE AS quarantined
-           FROM (SELECT DISTINCT conversation_id FROM scheduled), (VALUES ('user1'), ('user2')) x(m)""",
+        lambda v: assembly.crosstalk_purity(spilled(v)),
+        f"""SELECT variant, m AS main_crosstalk, u AS user_crosstalk, m = 0 AND u = 0 AS pass, NOT (m = 0 AND u = 0) AS quarantined FROM (
+               SELECT variant, {rnd("coalesce(sum(d) FILTER (main AND wrong) / nullif(sum(d) FILTER (main), 0), 0)", 6)} AS m,
+                      {rnd("coalesce(sum(d) FILTER (NOT main AND wrong) / nullif(sum(d) FILTER (NOT main), 0), 0)", 6)} AS u FROM (
+                   SELECT conversation_id || '__' || m || '_agent' AS variant, (speaker = m) <> (pos % 29 = 3) AS main, pos % 29 = 3 AS wrong, CAST(CAST("end" - "start" AS DECIMAL(28,6)) AS DOUBLE) AS d
+                   FROM scheduled, (VALUES ('user1'), ('user2')) x(m)) GROUP BY 1)""",
     )
     # ---- sinks ----
     q(
@@ -153,17 +159,18 @@ def register(q) -> None:
     q(
         "conversation_payload",
         payload,
-        f"""SELECT corpus_combination_id, 1 AS "index", CAST(0 AS BIGINT) AS part,
-                  '{{"corpus_combination_id":' || corpus_combination_id || ',"index":1,"profile":{{' || concat_ws(',', {', '.join(opt(k, k) for k in ("language", "agent_emotion", "user_emotion", "agent_accent", "user_accent", "gender_pair"))}) ||
-                  '}},"topic":{{"title":"a title","conversation_type":"advice"}},"duration_sec":' || CAST(CAST(duration_sec AS DECIMAL(18,1)) AS VARCHAR) || ',"passed":true,"include_numbers":false,"turns":[' || t.turns || ']}}' AS body
-           FROM corpus c JOIN (SELECT conv_id, string_agg({turn}, ',' ORDER BY pos) AS turns FROM turns_timed GROUP BY 1) t ON t.conv_id = c.corpus_combination_id""",
+        f"""SELECT corpus_combination_id, "index", lower(language) AS language,
+                  '{{"corpus_combination_id":' || corpus_combination_id || ',"index":' || "index" || ',"profile":{{' || concat_ws(',', {', '.join(opt(k, k) for k in ("language", "agent_emotion", "user_emotion", "agent_accent", "user_accent", "gender_pair"))}) ||
+                  '}},"topic":{{' || concat_ws(',', {quoted("title", "title")}, {quoted("context", "context")}, {opt("conversation_type", "conversation_type")}) ||
+                  '}},"duration_sec":' || CAST(CAST(duration_sec AS DECIMAL(18,1)) AS VARCHAR) || ',"passed":true,"include_numbers":' || include_numbers || ',"turns":[' || t.turns || ']}}' AS body
+           FROM {LAYOUT} c JOIN (SELECT conv_id, string_agg({turn}, ',' ORDER BY pos) AS turns FROM turns_timed GROUP BY 1) t ON t.conv_id = c.corpus_combination_id""",
     )
     q(
         "metadata_sidecar",
         lambda v: publish.sidecar(sidecar_input(v)),
         f"""SELECT corpus_combination_id, "index", concat_ws(chr(10), {SIDECAR}) AS metadata FROM (
                SELECT l.*, s."Normal" AS n1, s."Overlapping" AS n2, s."Interruption" AS n3, s."Backchanneling" AS n4, l.corpus_combination_id % 4 AS k, CASE WHEN l.corpus_combination_id % 4 > 0 THEN l.duration_sec + 10 END AS target_sec
-               FROM {LAYOUT} l JOIN {ct.STATS} s ON s.conv_id = l.corpus_combination_id WHERE l."index" = 1)""",
+               FROM {LAYOUT} l JOIN {ct.STATS} s ON s.conv_id = l.corpus_combination_id)""",
     )
     # ---- uploads ----
     q("remote_relative_listing", lambda v: v.remote_relative, "SELECT path FROM remote_relative")

@@ -262,13 +262,22 @@ def all_issues(v: Views):
     return quality.validate_turns(v.turns_timed, minimum=12)
 
 
-FAITHFUL_SQL = """
-    SELECT conv_id, pos, problem, CASE WHEN problem = 'reworded' THEN levenshtein(lw, tw) END AS edit_distance FROM (
-        SELECT coalesce(l.conv_id, t.conv_id) AS conv_id, coalesce(l.pos, t.pos) AS pos, l.w AS lw, t.w AS tw,
-               CASE WHEN t.w IS NULL THEN 'dropped' WHEN l.w IS NULL THEN 'added'
-                    WHEN l.w <> t.w AND EXISTS (SELECT 1 FROM tw x WHERE x.conv_id = l.conv_id AND x.w = l.w) THEN 'reordered'
-                    WHEN l.w <> t.w THEN 'reworded' WHEN l.speaker <> t.speaker THEN 'speaker_swapped' END AS problem
-        FROM lw l FULL OUTER JOIN tw t ON l.conv_id = t.conv_id AND l.pos = t.pos) WHERE problem IS NOT NULL"""
+FAITHFUL_SQL = """,
+    l AS (SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos) AS nth FROM lw),
+    t AS (SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos) AS nth FROM tw),
+    pairs AS (SELECT l.conv_id, l.pos AS line, t.pos AS turn, l.speaker <> t.speaker AS swapped FROM l JOIN t USING (conv_id, w, nth)),
+    near AS (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY line) AS p, lead(turn) OVER (PARTITION BY conv_id ORDER BY line) AS n FROM pairs),
+    placed AS (SELECT *, coalesce(p, -1) < coalesce(n, 4611686018427387904) AND (turn < coalesce(p, turn) OR turn > coalesce(n, turn)) AS moved FROM near),
+    lost AS (SELECT conv_id, pos, w, gap FROM (SELECT *, coalesce(max(mark) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gap FROM (
+        SELECT conv_id, pos, w, CAST(NULL AS BIGINT) AS mark FROM l ANTI JOIN t USING (conv_id, w, nth) UNION ALL SELECT conv_id, line, NULL, turn FROM placed WHERE NOT moved)) WHERE mark IS NULL),
+    new AS (SELECT conv_id, pos, w, gap FROM (SELECT *, coalesce(max(mark) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gap FROM (
+        SELECT conv_id, pos, w, CAST(NULL AS BIGINT) AS mark FROM t ANTI JOIN l USING (conv_id, w, nth) UNION ALL SELECT conv_id, turn, NULL, turn FROM placed WHERE NOT moved)) WHERE mark IS NULL),
+    lost_n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, gap ORDER BY pos) AS i FROM lost),
+    new_n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, gap ORDER BY pos) AS i FROM new)
+    SELECT conv_id, line AS pos, CASE WHEN moved THEN 'reordered' ELSE 'speaker_swapped' END AS problem, CAST(NULL AS INTEGER) AS edit_distance FROM placed WHERE moved OR swapped
+    UNION ALL SELECT coalesce(a.conv_id, b.conv_id), coalesce(a.pos, b.pos), CASE WHEN b.pos IS NULL THEN 'dropped' WHEN a.pos IS NULL THEN 'added' ELSE 'reworded' END,
+           CASE WHEN length(a.w) <= 4000 AND length(b.w) <= 4000 THEN CAST(levenshtein(a.w, b.w) AS INTEGER) END
+    FROM lost_n a FULL OUTER JOIN new_n b ON a.conv_id = b.conv_id AND a.gap = b.gap AND a.i = b.i"""
 WORDS = r"lower(regexp_replace(text, '[^\p{L}\p{N}\p{M}]+', '', 'g'))"
 
 
@@ -376,7 +385,7 @@ def register(q) -> None:
         f"""WITH lw AS (SELECT conv_id, pos, speaker, {WORDS} AS w FROM turns_raw),
             tw AS (SELECT conv_id, CASE WHEN k = 6 THEN pos + 5000 ELSE pos END AS pos, CASE WHEN k = 7 THEN CASE speaker WHEN 'speaker_1' THEN 'speaker_2' ELSE 'speaker_1' END ELSE speaker END AS speaker,
                           {WORDS.replace('text', "(CASE WHEN k = 8 THEN text || ' indeed' ELSE replace(text, ' ', ' , ') END)")} AS w
-                   FROM (SELECT *, (conv_id * 3 + pos) % 17 AS k FROM turns_raw) WHERE k <> 5) {FAITHFUL_SQL}""",
+                   FROM (SELECT *, (conv_id * 3 + pos) % 17 AS k FROM turns_raw) WHERE k <> 5){FAITHFUL_SQL}""",
     )
     q(
         "simultaneous_speech",

@@ -16,6 +16,11 @@ c = F.col
 CLIP = ["speaker_id", "language", "gender", "duration_seconds", "transcript", "source_dataset", "source_index"]
 
 
+EXTRA = ["age_group", "primary_language", "native_place_state", "native_place_district", "highest_qualification", "job_category", "occupation_domain"]
+#: those that the view of the clips has already
+KEPT = ["age_group", "native_place_state", "occupation_domain"]
+
+
 def meta(name: str):
     return F.try_element_at("extra_metadata", F.lit(name)).alias(name)
 
@@ -70,8 +75,8 @@ COMPLETE_SQL = """
 def register(q) -> None:
     q(
         "source_accented_english",
-        lambda v: v.accented_clips.select(*CLIP, "audio_path", meta("age_group"), meta("native_place_state"), meta("occupation_domain")),
-        """SELECT speaker_id, language, gender, duration_seconds, transcript, source_dataset, source_index, audio_path, age_group, native_place_state, occupation_domain FROM accented_clips""",
+        lambda v: v.accented_clips.select(*CLIP, "audio_path", *map(meta, EXTRA)),
+        f"""SELECT speaker_id, language, gender, duration_seconds, transcript, source_dataset, source_index, audio_path, {', '.join(EXTRA)} FROM accented_clips JOIN (SELECT source_index, {', '.join(x for x in EXTRA if x not in KEPT)} FROM accented_raw) USING (source_index)""",
     )
     q(
         "source_indic",
@@ -86,16 +91,17 @@ def register(q) -> None:
     q(
         "source_union",
         lambda v: clip_sources.union_sources({"english": v.accented_clips, "hindi": v.indic_clips}).select(
-            "language_order", *[x for x in CLIP if x != "transcript"]
+            "language_order", *CLIP
         ),
-        """SELECT 0 AS language_order, speaker_id, language, gender, duration_seconds, source_dataset, source_index FROM accented_clips
-           UNION ALL SELECT 1, speaker_id, language, gender, duration_seconds, source_dataset, source_index FROM indic_clips""",
+        """SELECT 0 AS language_order, speaker_id, language, gender, duration_seconds, transcript, source_dataset, source_index FROM accented_clips
+           UNION ALL SELECT 1, speaker_id, language, gender, duration_seconds, transcript, source_dataset, source_index FROM indic_clips""",
     )
     q(
         "undecoded_audio_scan",
-        lambda v: clip_sources.audio_files(v.spark, v.folder, "*.parquet").select(
-            F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length"
+        lambda v: clip_sources.undecoded(v.table("pages").select(c("url").alias("path"), c("html").cast("binary").alias("content"))).select(
+            "path", "length", F.sha1("content").alias("digest")
         ),
+        "SELECT url AS path, strlen(html) AS length, sha1(html) AS digest FROM pages",
     )
     q("voice_report_scan", stored_reports, f"""
         SELECT language, speakers_seen, CASE WHEN hi THEN 0 ELSE speakers_selected END AS speakers_selected, CASE WHEN hi THEN 0 ELSE speakers_discarded END AS speakers_discarded,
@@ -134,8 +140,13 @@ def register(q) -> None:
     )
     q(
         "speaker_id_default",
-        lambda v: v.indic_raw.select("doc_id", voice.speaker_or_unknown(c("speaker_id"), c("source_index")).alias("speaker_id")),
-        """SELECT doc_id, CASE WHEN coalesce(speaker_id, '') IN ('', '0') THEN 'unknown_spk_' || source_index ELSE speaker_id END AS speaker_id FROM indic_raw""",
+        lambda v: v.indic_raw.select(
+            "doc_id",
+            voice.speaker_or_unknown(c("speaker_id"), c("source_index")).alias("speaker_id"),
+            voice.speaker_or_unknown(c("doc_id") % 5, c("source_index")).alias("number_id"),
+        ),
+        """SELECT doc_id, CASE WHEN coalesce(speaker_id, '') = '' THEN 'unknown_spk_' || source_index ELSE speaker_id END AS speaker_id,
+                  CASE WHEN doc_id % 5 = 0 THEN 'unknown_spk_' || source_index ELSE CAST(doc_id % 5 AS VARCHAR) END AS number_id FROM indic_raw""",
     )
     q("label_decode", lambda v: v.indic_raw.select("doc_id", "gender"), "SELECT doc_id, gender FROM indic_raw")
     q(

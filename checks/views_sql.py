@@ -109,7 +109,7 @@ def build(domains: list[str], kinds: list[str]) -> dict[str, str]:
         SELECT * EXCLUDE (gender, g), CASE g WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'unknown' ELSE CAST(g AS VARCHAR) END AS gender
         FROM (SELECT *, gender AS g, row_number() OVER (ORDER BY doc_id) - 1 AS source_index FROM indic_coded WHERE lang = 'en')"""
     v["indic_clips"] = f"""
-        SELECT CASE WHEN speaker_id IS NULL OR speaker_id IN ('', '0') THEN 'unknown_spk_' || source_index ELSE speaker_id END AS speaker_id,
+        SELECT CASE WHEN coalesce(speaker_id, '') = '' THEN 'unknown_spk_' || source_index ELSE speaker_id END AS speaker_id,
                'hindi' AS language, {_gender('gender')} AS gender, coalesce(duration, 0.0) AS duration_seconds,
                coalesce(nullif(normalized, ''), nullif(verbatim, ''), text, '') AS transcript, audio_path,
                'indic' AS source_dataset, source_index, district, snr

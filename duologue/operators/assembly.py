@@ -213,22 +213,31 @@ def manifest(scheduled: DataFrame, speakers: Sequence[str], key: str = "conversa
     )
 
 
-def crosstalk_purity(variant_segments: DataFrame) -> DataFrame:
-    """Share of each channel taken by the wrong speaker.
+def output_channels(variant_segments: DataFrame) -> DataFrame:
+    """Adds the channel a segment is written to: the main speaker's or the other one."""
+    return variant_segments.withColumn("channel", F.when(F.col("label") == "SPEAKER_MAIN", "main").otherwise("user"))
 
-    A channel holds the segments that carry its label, so the share is 0 as long
-    as labels follow speakers.
+
+def crosstalk_purity(channel_segments: DataFrame) -> DataFrame:
+    """Share of each channel's speech that is not by the channel's speaker.
+
+    ``channel_segments``: ``variant, main_speaker, channel (main|user), speaker, start,
+    end`` as found in the output.  The main channel belongs to the main speaker, the other
+    one to everyone else.
     """
     c = F.col
     seconds = (c("end") - c("start")).cast(EXACT)
-    main = c("label") == "SPEAKER_MAIN"
+    main = c("channel") == "main"
     wrong = main != (c("speaker") == c("main_speaker"))
-    share = lambda side: F.coalesce(
-        F.sum(F.when(side & wrong, seconds)).cast("double") / F.nullif(F.sum(F.when(side, seconds)).cast("double"), F.lit(0.0)),
-        F.lit(0.0),
+    share = lambda side: round_half_up(
+        F.coalesce(
+            F.sum(F.when(side & wrong, seconds)).cast("double") / F.nullif(F.sum(F.when(side, seconds)).cast("double"), F.lit(0.0)),
+            F.lit(0.0),
+        ),
+        6,
     )
     return (
-        variant_segments.groupBy("variant")
+        channel_segments.groupBy("variant")
         .agg(share(main).alias("main_crosstalk"), share(~main).alias("user_crosstalk"))
         .withColumn("pass", (c("main_crosstalk") == 0) & (c("user_crosstalk") == 0))
         .withColumn("quarantined", ~c("pass"))

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duologue.session import cut_lineage
+
 BLOCK_ROWS = 4096
 
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -44,16 +46,29 @@ def carry_over(
     totals = df.groupBy(*keys, *blocks).agg(
         *[_FOLD[kind](value).alias(name) for name, (kind, value) in spec.items()]
     )
-    earlier = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(*blocks)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return totals.select(
-        *keys,
-        *blocks,
-        *[_FOLD[kind](F.col(name)).over(earlier).alias(name) for name, (kind, _) in spec.items()],
-    )
+    names = list(spec)
+    kinds = {name: kind for name, (kind, _) in spec.items()}
+
+    def before(rows: DataFrame, scope: list, order: Sequence[str]) -> list[Column]:
+        earlier = Window.partitionBy(*(scope or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return [_FOLD[kinds[n]](F.col(n)).over(earlier).alias(n) for n in names]
+
+    if len(blocks) > 1 or dict(totals.dtypes)[blocks[0]] not in ("tinyint", "smallint", "int", "bigint"):
+        return totals.select(*keys, *blocks, *before(totals, list(keys), blocks))
+    # Blocks of blocks: one window sees 4096 of them, the top one a 4096th of their number.
+    above = totals.withColumn("_above", F.floor(F.col(blocks[0]) / F.lit(BLOCK_ROWS)))
+    tops = above.groupBy(*keys, "_above").agg(*[_FOLD[kinds[n]](n).alias(n) for n in names])
+    tops = tops.select(*keys, "_above", *[x.alias(f"_top_{n}") for n, x in zip(names, before(tops, list(keys), ["_above"]), strict=True)])
+    inner = above.select(*keys, *blocks, "_above", *before(above, [*keys, "_above"], blocks))
+    joined = inner.join(tops, [*keys, "_above"], "left")
+    return joined.select(*keys, *blocks, *[_carried(kinds[n], F.col(f"_top_{n}"), F.col(n)).alias(n) for n in names])
+
+
+def _carried(kind: str, above: Column, inner: Column) -> Column:
+    """Fold of two parts of which either may be absent; absent if both are."""
+    if kind == "sum":
+        return F.coalesce(above + inner, above, inner)
+    return (F.greatest if kind == "max" else F.least)(above, inner)
 
 
 def running(
@@ -130,25 +145,24 @@ def with_halo(
     )
 
 
-def number_by_text(
-    df: DataFrame, keys: Sequence[str], column: str, name: str, lengths: Sequence[int] = (3, 6, 12)
-) -> DataFrame:
+def number_by_text(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
     """1-based row number per key in the order of a text column.
 
-    Leading characters of growing length form nested blocks, so that neither texts
-    with a common head nor texts that differ early meet in one task.
+    Rows are range partitioned by key and text and stored, so that neither a frequent key
+    nor texts with a common head meet in one task.  A row's number is its place among its
+    partition's rows of the key, plus the key's rows in earlier partitions; the latter are
+    one small row per key and partition.
     """
-    heads = [f"_head{n}" for n in lengths]
-    cut = df.select("*", *[F.substring(column, 1, n).alias(h) for n, h in zip(lengths, heads, strict=True)])
-    out = number_rows(cut, [*keys, *heads[:-1]], [column], heads[-1:], name)
-    for level in range(len(heads) - 1):
-        scope = [*keys, *heads[:level]]
-        before = carry_over(cut, scope, [heads[level]], {"_before": ("sum", F.lit(1).cast("bigint"))})
-        out = out.join(before, [*scope, heads[level]], "left")
-        out = out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
-    return out.select(*df.columns, name)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a join side for broadcast only after counting that it has few rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    order = [*keys, column]
+    placed = cut_lineage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    )
+    part = F.shiftright("_at", 33).alias("_part")
+    blocks = placed.groupBy(*keys, part).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    rows = placed.withColumn("_part", part)
+    same = rows["_part"] == blocks["_part"]
+    for key in keys:
+        same &= rows[key].eqNullSafe(blocks[key])
+    return rows.join(blocks, same).select(*[rows[c] for c in df.columns], (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias(name))

@@ -13,7 +13,6 @@ from duologue.operators.ordered import (
     BLOCK_ROWS,
     block_of,
     block_window,
-    broadcast_if_small,
     number_rows,
     running,
     with_halo,
@@ -68,7 +67,7 @@ def validation_provider(model: Column) -> Column:
 
 
 def known_provider(provider: Column) -> Column:
-    return provider.isin(list(fv.PROVIDER_MODELS))
+    return provider.isin(fv.PROVIDERS)
 
 
 def attempt_temperature(base: Column, attempt: Column, provider: Column) -> Column:
@@ -122,16 +121,6 @@ def number_conversations(
     )
 
 
-def topic_parts(topics: DataFrame, part_rows: int = 1000) -> DataFrame:
-    """Ordered titles per instance as arrays of at most ``part_rows`` titles."""
-    part = F.floor((F.col("index") - 1) / part_rows).cast("bigint")
-    return (
-        topics.groupBy(INSTANCE, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("index", "title"))).alias("_t"))
-        .select(INSTANCE, "part", F.transform("_t", lambda t: t["title"]).alias("topics"))
-    )
-
-
 def distinct_topics(topics: DataFrame) -> DataFrame:
     """First occurrence of every title per instance, in order of appearance."""
     title = strip(F.col("title"))
@@ -171,13 +160,10 @@ def language_totals(progress: DataFrame) -> DataFrame:
 
 def headroom(progress: DataFrame, totals: DataFrame, reserved: DataFrame | None = None) -> DataFrame:
     """Seconds an instance and its language may still take; no language cap is infinite."""
-    # Languages are few and each holds very many instances: count, then broadcast.
-    caps = broadcast_if_small(
-        totals.select(
-            F.col("language").alias("_language"),
-            F.col("target_sec").alias("_lt"),
-            F.col("generated_sec").alias("_lg"),
-        )
+    caps = totals.select(
+        F.col("language").alias("_language"),
+        F.col("target_sec").alias("_lt"),
+        F.col("generated_sec").alias("_lg"),
     )
     joined = progress.withColumn("_language", F.lower("language")).join(caps, "_language", "left")
     if reserved is None:

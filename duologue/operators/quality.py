@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import round_half_up
-from duologue.operators.ordered import running
+from duologue.operators.ordered import number_rows, running, with_halo
 from duologue.operators.turns import relation_pairs
+from duologue.session import cut_lineage
 
 ISSUE_COLUMNS = ["conv_id", "pos", "turn_id", "level", "rule", "message"]
 CONVERSATION = "<conversation>"
@@ -509,26 +510,64 @@ def comparable(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\p{M}]+", ""))
 
 
-def faithfulness(lines: DataFrame, turns: DataFrame) -> DataFrame:
+#: Longest wording, in characters, whose edit distance is measured; longer ones have none.
+DISTANCE_CHARS = 4000
+
+
+def faithfulness(lines: DataFrame, turns: DataFrame, block_rows: int = 4096) -> DataFrame:
     """Differences between transcript lines and turns ``(conv_id, pos, speaker, text)``.
 
-    Same position, other wording -> ``reworded``, unless the line's wording occurs
-    elsewhere among the turns -> ``reordered``; missing -> ``dropped``, extra ->
-    ``added``; same wording by the other speaker -> ``speaker_swapped``.
+    The n-th line of a wording belongs to the n-th turn of that wording, wherever it is:
+    ``speaker_swapped`` if the other speaker says it, ``reordered`` if its turn is not
+    between those of the lines before and after it while these are in order.  What is left
+    between the same two kept lines is paired in order: ``reworded``, with the edit
+    distance; without a partner a line is ``dropped``, a turn ``added``.
     """
-    left = lines.select("conv_id", "pos", F.col("speaker").alias("line_speaker"), comparable(F.col("text")).alias("line_words"))
-    right = turns.select("conv_id", "pos", F.col("speaker").alias("turn_speaker"), comparable(F.col("text")).alias("turn_words"))
-    elsewhere = right.select("conv_id", F.col("turn_words").alias("line_words")).distinct().withColumn("_seen", F.lit(True))
-    joined = left.join(right, ["conv_id", "pos"], "full_outer").join(elsewhere, ["conv_id", "line_words"], "left")
     c = F.col
-    problem = (
-        F.when(c("turn_words").isNull(), "dropped")
-        .when(c("line_words").isNull(), "added")
-        .when((c("line_words") != c("turn_words")) & c("_seen"), "reordered")
-        .when(c("line_words") != c("turn_words"), "reworded")
-        .when(c("line_speaker") != c("turn_speaker"), "speaker_swapped")
+    block = lambda name: F.floor(c(name) / block_rows).alias("_blk")
+
+    def counted(rows: DataFrame, side: str) -> DataFrame:
+        plain = rows.select("conv_id", c("pos").alias(side), c("speaker").alias(f"{side}_speaker"), comparable(c("text")).alias("words"))
+        return number_rows(plain.select("*", block(side)), ["conv_id", "words"], [side], ["_blk"], "_nth").drop("_blk")
+
+    left, right = counted(lines, "line"), counted(turns, "turn")
+    # stored, as all that follows reads it several times
+    both = cut_lineage(left.join(right, ["conv_id", "words", "_nth"], "full_outer"))
+    pairs = both.where("line is not null and turn is not null")
+
+    # Neighbours among the matched lines.
+    ranked = number_rows(pairs.select("conv_id", "line", "turn", block("line")), ["conv_id"], ["line"], ["_blk"], "pos").drop("_blk")
+    near = Window.partitionBy("conv_id", "_block").orderBy("pos")
+    around = with_halo(ranked, "pos", block_rows).select(
+        "conv_id", "line", "turn", "_own", F.lag("turn").over(near).alias("_p"), F.lead("turn").over(near).alias("_n")
     )
-    distance = F.when(problem == "reworded", F.levenshtein(c("line_words"), c("turn_words")))
-    return joined.select("conv_id", "pos", problem.alias("problem"), distance.alias("edit_distance")).where(
-        c("problem").isNotNull()
+    between = F.coalesce(c("_p"), F.lit(-1)) < F.coalesce(c("_n"), F.lit((1 << 62)))
+    moved = between & ((c("turn") < F.coalesce("_p", "turn")) | (c("turn") > F.coalesce("_n", "turn")))
+    placed = cut_lineage(around.where("_own").select("conv_id", "line", "turn", moved.alias("moved")))
+    speakers = pairs.select("conv_id", "line", (c("line_speaker") != c("turn_speaker")).alias("swapped"))
+    problem = F.when(c("moved"), "reordered").when(c("swapped"), "speaker_swapped")
+    matched = placed.join(speakers, ["conv_id", "line"]).select("conv_id", c("line").alias("pos"), problem.alias("problem"), F.lit(None).cast("int").alias("edit_distance"))
+
+    # Leftovers, numbered since the last line or turn that kept its place.
+    kept = placed.where("not moved").select("conv_id", c("line").alias("_line"), c("turn").alias("_turn"))
+
+    def leftovers(side: str) -> DataFrame:
+        other = "turn" if side == "line" else "line"
+        alone = both.where(c(side).isNotNull() & c(other).isNull()).select("conv_id", c(side).alias("pos"), "words", F.lit(None).cast("bigint").alias("mark"))
+        marks = kept.select("conv_id", c(f"_{side}").alias("pos"), F.lit(None).cast("string").alias("words"), c("_turn").alias("mark"))
+        mixed = alone.unionByName(marks).select("*", block("pos"))
+        since = running(mixed, ["conv_id"], ["pos"], ["_blk"], {"gap": ("max", c("mark"))}, inclusive=False)
+        rest = since.where("mark is null").select("conv_id", "pos", "words", F.coalesce("gap", F.lit(-1)).alias("gap"), "_blk")
+        return number_rows(rest, ["conv_id", "gap"], ["pos"], ["_blk"], "nth").drop("_blk")
+
+    lost, new = leftovers("line"), leftovers("turn").withColumnsRenamed({"pos": "turn_pos", "words": "turn_words"})
+    rest = lost.join(new, ["conv_id", "gap", "nth"], "full_outer")
+    short = (F.length("words") <= DISTANCE_CHARS) & (F.length("turn_words") <= DISTANCE_CHARS)
+    kind = F.when(c("turn_pos").isNull(), "dropped").when(c("pos").isNull(), "added").otherwise("reworded")
+    unmatched = rest.select(
+        "conv_id",
+        F.coalesce("pos", "turn_pos").alias("pos"),
+        kind.alias("problem"),
+        F.when(short, F.levenshtein("words", "turn_words")).alias("edit_distance"),
     )
+    return matched.where("problem is not null").unionByName(unmatched)

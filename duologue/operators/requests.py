@@ -168,16 +168,14 @@ def editor_view(turns: DataFrame, keys: tuple[str, ...] = ("conv_id", "pos")) ->
     return turns.select(*keys, *EDITOR_FIELDS)
 
 
-def turn_parts(turns: DataFrame, fields: list[str], part_rows: int = 1000) -> DataFrame:
-    """Turns as JSON arrays of at most ``part_rows`` turns per text."""
-    part = F.floor((F.col("pos") - 1) / part_rows).cast("bigint")
+def turn_documents(turns: DataFrame, fields: list[str]) -> DataFrame:
+    """The turns of each conversation as one JSON array; a conversation must fit into a row."""
     turn = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return (
-        turns.groupBy("conv_id", part.alias("part"))
+        turns.groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("pos", turn.alias("turn")))).alias("_t"))
         .select(
             "conv_id",
-            "part",
             F.concat(F.lit("["), F.array_join(F.transform("_t", lambda t: t["turn"]), ","), F.lit("]")).alias("turns_json"),
         )
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import lookup, round_half_up, slug, strip
-from duologue.operators.ordered import block_of, broadcast_if_small, number_by_text, number_rows
+from duologue.operators.ordered import block_of, number_by_text, number_rows
 
 
 # ---- expressions -------------------------------------------------------------
@@ -46,9 +46,11 @@ def unknown_speaker(source_index: Column) -> Column:
 
 
 def speaker_or_unknown(speaker: Column, source_index: Column) -> Column:
-    """The id itself, unless it is null, empty or zero."""
+    """The id itself, unless it is null, empty or the number zero; a text ``0`` is an id."""
     text = speaker.cast("string")
-    return F.when(text.isNull() | text.isin("", "0"), unknown_speaker(source_index)).otherwise(text)
+    numeric = F.typeof(speaker).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
+    zero = numeric & F.coalesce(speaker.try_cast("double") == 0, F.lit(False))
+    return F.when(text.isNull() | (text == "") | zero, unknown_speaker(source_index)).otherwise(text)
 
 
 def clip_tier(
@@ -78,18 +80,15 @@ def check_thresholds(target: float, minimum: float) -> None:
 
 
 # ---- operators ---------------------------------------------------------------
-def decode_labels(
-    df: DataFrame, classes: DataFrame, column: str, *, max_classes: int = 100_000
-) -> DataFrame:
+def decode_labels(df: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     """Replace a class number by its name; unknown numbers stay as they are.
 
-    ``classes`` holds ``(column_name, code, name)``.  It is broadcast only when
-    its size, counted here, is below ``max_classes``.
+    ``classes`` holds ``(column_name, code, name)``; the optimizer's byte limit decides
+    whether it is broadcast.
     """
     names = classes.where(F.col("column_name") == column).select(
         F.col("code").cast("string").alias("_code"), F.col("name").alias("_name")
     )
-    names = broadcast_if_small(names, max_classes)
     raw = F.col(column).cast("string")
     return (
         df.join(names, raw == F.col("_code"), "left")
@@ -134,7 +133,8 @@ def speaker_cap(winners: DataFrame, limit: int | None) -> DataFrame:
     """First ``limit`` speakers by their first qualifying clip; no limit keeps all."""
     if limit is None:
         return winners
-    return winners.orderBy("first_qualifying_index").limit(limit)
+    ties = [x for x in ("source_dataset", "language", "speaker_id") if x in winners.columns]
+    return winners.orderBy("first_qualifying_index", *ties).limit(limit)
 
 
 def discarded_speakers(clips: DataFrame, winners: DataFrame) -> DataFrame:

@@ -57,19 +57,18 @@ def dev_files(conversations: DataFrame) -> DataFrame:
 
 
 # ---- documents ---------------------------------------------------------------
-def payload_parts(conversations: DataFrame, turn_documents: DataFrame) -> DataFrame:
-    """Stored JSON of accepted conversations, in parts of bounded size.
+def payloads(conversations: DataFrame, turn_documents: DataFrame) -> DataFrame:
+    """Stored JSON of accepted conversations, one document each at any length.
 
-    ``turn_documents`` holds ``conv_id, part, turns_json``.  A usual conversation
-    has one part; a very long one continues in further parts, whose turn lists
-    join in order.  The profile leaves out missing attributes.
+    ``turn_documents`` holds ``conv_id, turns_json``.  The profile leaves out missing
+    attributes.
     """
     profile = F.struct("language", "agent_emotion", "user_emotion", "agent_accent", "user_accent", "gender_pair")
     topic = F.struct("title", "context", "conversation_type")
     head = F.to_json(F.struct("corpus_combination_id", "index", profile.alias("profile"), topic.alias("topic"), "duration_sec", "passed", "include_numbers"))
     joined = conversations.join(turn_documents, "conv_id")
     body = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"turns":'), F.col("turns_json"), F.lit("}"))
-    return joined.select("corpus_combination_id", "index", "part", body.alias("body"))
+    return joined.select("corpus_combination_id", "index", language_folder(F.col("language")).alias("language"), body.alias("body"))
 
 
 def sidecar(conversations: DataFrame) -> DataFrame:
@@ -110,9 +109,9 @@ def sidecar(conversations: DataFrame) -> DataFrame:
         line("generation_retries", retries("generation_attempts")),
         line("format_retries", retries("format_attempts")),
         F.lit("\n## Content validation"),
-        line("verdict", F.coalesce(c("content_verdict"), F.lit("(bypassed or unavailable)"))),
+        line("verdict", F.coalesce(c("content_verdict"), F.lit("none given"))),
         F.lit("\n## Format validation"),
-        line("verdict", F.coalesce(c("format_verdict"), F.lit("(bypassed or unavailable)"))),
+        line("verdict", F.coalesce(c("format_verdict"), F.lit("none given"))),
     )
     return conversations.select("corpus_combination_id", "index", body.alias("metadata"))
 
@@ -137,7 +136,7 @@ def upload_plan(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 def upload_batches(plan: DataFrame, batch: int = fv.UPLOAD_BATCH) -> DataFrame:
     """Number files by path and cut them into batches; no task sees the whole listing."""
-    numbered = number_by_text(plan, [], "path", "file_no", (4, 16, 48))
+    numbered = number_by_text(plan, [], "path", "file_no")
     return numbered.withColumn("batch_no", F.floor((F.col("file_no") - 1) / F.lit(batch)).cast("bigint"))
 
 
@@ -149,24 +148,22 @@ def copy_plan(source: DataFrame, target: DataFrame, *, same_place: bool = False)
 
 
 # ---- writers -----------------------------------------------------------------
-def write_conversations(payloads: DataFrame, folder: str) -> None:
-    """JSON lines under ``language=/instance=`` folders; rows of an instance spread by part."""
-    payloads.write.mode("append").partitionBy("language", "corpus_combination_id").json(folder)
+def write_conversations(payloads: DataFrame, folder: str, buckets: int = 64) -> None:
+    """JSON lines under ``language=`` folders; a language's instances are dealt to at most ``buckets`` files."""
+    bucket = F.pmod(F.hash("corpus_combination_id"), F.lit(buckets))
+    payloads.repartition("language", bucket).write.mode("append").partitionBy("language").json(folder)
 
 
-def write_manifest(rows: DataFrame, folder: str) -> None:
-    rows.write.mode("overwrite").json(folder)
-
-
-def write_registry(entries: DataFrame, folder: str, version: str) -> str:
+def write_registry(entries: DataFrame, folder: str, version: int) -> str:
     """Write a new version of a keyed table, then point ``_current`` at it.
 
     Readers follow the pointer, so a lost executor or driver leaves the previous
     version in force.
     """
+    version = int(version)
     place = f"{folder}/v={version}"
     entries.write.mode("overwrite").parquet(place)
-    pointer = entries.sparkSession.createDataFrame([(version,)], "version string")
+    pointer = entries.sparkSession.createDataFrame([(version,)], "version bigint")
     pointer.coalesce(1).write.mode("append").json(f"{folder}/_current_log")
     return place
 
@@ -176,7 +173,7 @@ def read_registry(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_current_log")
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
-    latest = spark.read.schema("version string").json(f"{folder}/_current_log").agg(F.max("version")).first()[0]
+    latest = spark.read.schema("version bigint").json(f"{folder}/_current_log").agg(F.max("version")).first()[0]
     return spark.read.schema(schema).parquet(f"{folder}/v={latest}")
 
 

@@ -63,7 +63,8 @@ def read_turn_lines(spark: SparkSession, path: str, *, strict: bool = True) -> D
     message = F.concat(
         F.lit("Invalid JSON on line "), F.col("line_no").cast("string"), F.lit(" of "), F.col("file")
     )
-    return turns.withColumn("is_bad", F.when(F.col("is_bad"), F.raise_error(message)).otherwise(F.lit(False)))
+    # a filter, because a column that nobody reads would be pruned with its error
+    return turns.where(F.coalesce(F.when(F.col("is_bad"), F.raise_error(message).cast("boolean")), F.lit(True)))
 
 
 def stored_turns(documents: DataFrame, column: str = "value") -> DataFrame:

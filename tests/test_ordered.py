@@ -65,8 +65,10 @@ def test_text_numbering_with_common_and_early_different_heads(spark):
     draw = random.Random(4)
     names = {f"spk_{draw.randrange(16**6):06x}" for _ in range(300)} | {"", "s", "spk", "spk_", "zz", "a\u0100", "\u00e9t\u00e9"}
     df = spark.createDataFrame([(len(n) % 2, n) for n in names], "k int, name string")
-    for lengths in [(3, 6, 12), (1, 2)]:
-        got = {(r.k, r.name): r.no for r in number_by_text(df, ["k"], "name", "no", lengths).collect()}
+    names |= {"unknown_spk_" + "x" * 50 + str(i) for i in range(100)}
+    df = spark.createDataFrame([(len(n) % 2, n) for n in names], "k int, name string")
+    for parts in (1, 7):
+        got = {(r.k, r.name): r.no for r in number_by_text(df.repartition(parts), ["k"], "name", "no").collect()}
         for key in (0, 1):
             ordered = sorted((n for n in names if len(n) % 2 == key), key=lambda n: n.encode())
             assert [got[(key, n)] for n in ordered] == list(range(1, len(ordered) + 1))

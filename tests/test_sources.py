@@ -31,6 +31,10 @@ def test_turn_lines_skip_blanks_and_name_bad_lines(spark, tmp_path):
     assert "emotion" in rows[0].present_keys and "emotion" not in rows[1].present_keys
     with pytest.raises(Exception, match="line 4"):
         dialogue.read_turn_lines(spark, str(path)).collect()
+    with pytest.raises(Exception, match="line 4"):
+        dialogue.read_turn_lines(spark, str(path)).count()
+    with pytest.raises(Exception, match="line 4"):
+        dialogue.read_turn_lines(spark, str(path)).select("turn_id").collect()
 
 
 def test_line_numbers_hold_across_splits(spark, tmp_path):
@@ -56,8 +60,9 @@ def test_registry_versions(spark, tmp_path):
     folder = str(tmp_path / "reg")
     schema = "corpus_combination_id bigint, n bigint"
     assert publish.read_registry(spark, folder, schema).count() == 0
-    publish.write_registry(spark.createDataFrame([(1, 1)], schema), folder, "001")
-    publish.write_registry(spark.createDataFrame([(1, 2), (2, 5)], schema), folder, "002")
+    publish.write_registry(spark.createDataFrame([(1, 1)], schema), folder, 8)
+    publish.write_registry(spark.createDataFrame([(1, 2), (2, 5)], schema), folder, 9)
+    publish.write_registry(spark.createDataFrame([(1, 2), (2, 5)], schema), folder, 10)
     assert sorted(tuple(r) for r in publish.read_registry(spark, folder, schema).collect()) == [(1, 2), (2, 5)]
 
 
