@@ -23,8 +23,8 @@ BASE_WINDOW = 8
 MIN_WORDS = 20
 BASE_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
-#: Words per numpy pass; a longer document makes a pass of its own.
-PASS_WORDS = 200_000
+#: Bytes of text per numpy pass; a longer document makes a pass of its own.
+PASS_BYTES = 1 << 20
 MULTIPLIER = np.uint64(0x9DDFEA08EB382D69)
 
 
@@ -102,9 +102,8 @@ def _lines(text: bytes) -> tuple[int, int, int, int]:
 
 def measure(texts: list[bytes], lengths: tuple[int, ...]) -> Iterator[Counts]:
     """Counts of consecutive groups of documents, in order."""
-    split = [t.split() for t in texts]
-    for a, b in workers.groups_of([len(x) for x in split], PASS_WORDS):
-        yield _measure(texts[a:b], split[a:b], lengths)
+    for a, b in workers.groups_of([len(t) for t in texts], PASS_BYTES):
+        yield _measure(texts[a:b], [t.split() for t in texts[a:b]], lengths)
 
 
 def _measure(texts: list[bytes], docs: list[list[bytes]], lengths: tuple[int, ...]) -> Counts:

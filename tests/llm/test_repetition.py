@@ -45,7 +45,7 @@ def test_passes_do_not_change_results(spark, monkeypatch):
     docs = rows.nasty(spark)
     texts = [(r.text or "").encode() for r in docs.collect()]
     whole = repetition._judge(texts, repetition.Rules())
-    monkeypatch.setattr(repetition, "PASS_WORDS", 1)
+    monkeypatch.setattr(repetition, "PASS_BYTES", 1)
     assert all(a.equals(b) for a, b in zip(whole, repetition._judge(texts, repetition.Rules()), strict=True))
 
 
