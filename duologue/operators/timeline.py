@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from duologue.functions import fixed_values as fv
 from duologue.functions.dialogue import TICKS_PER_CS, speech_ticks, ticks_to_cs
 from duologue.operators.ordered import BLOCK_ROWS, block_window, carry_over, with_halo
+from duologue.operators.turns import apply_edits, emptied_conversations, recover_ratio, renumber
 from duologue.session import cut_lineage
 
 
@@ -333,3 +334,22 @@ def assemble_timeline(
         "interrupted",
         "interrupted_by",
     )
+
+
+def repair(turns: DataFrame, edits: DataFrame, keys: Sequence[str] = ("conv_id",)) -> DataFrame:
+    """Laid-out turns with edits applied and laid out anew.
+
+    Relations keep where they began inside their partner, turns are numbered afresh, and
+    the new layout decides which relations still hold.  Edits that would delete every turn
+    of a conversation are refused: it comes back as it was, ``refused`` is true.
+    """
+    before = recover_ratio(turns, keys)
+    after = apply_edits(before, edits, keys)
+    emptied = emptied_conversations(turns, after, keys)
+    columns = [*keys, "pos", "speaker", "turn_type", "ratio", "emotion", "text"]
+    unedited = before.join(emptied, list(keys), "left_semi")
+    # stored, as the layout reads it several times
+    dense = cut_lineage(renumber(after.select(*columns).unionByName(unedited.select(*columns)), keys)).drop("turn_id")
+    marked = emptied.withColumn("_refused", F.lit(True))
+    laid = assemble_timeline(dense, keys).join(marked, list(keys), "left")
+    return laid.withColumn("refused", F.coalesce("_refused", F.lit(False))).drop("_refused")
