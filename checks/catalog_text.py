@@ -18,6 +18,28 @@ def bodies(v: Views):
     return replies.extract_json(v.replies).select("doc_id", "body")
 
 
+def turn_replies(v: Views):
+    """Formatter replies of several shapes, one for each message: its lines are the turns."""
+    spoken = v.table("conversations").where("role <> 'system'")
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit("S2").alias("Speaker"), x.alias("Text"), F.lit(None).cast("string").alias("emotion")))
+    listed = F.to_json(lines, {"ignoreNullFields": "false"})
+    shape = (c("conv_id") + c("turn")) % 5
+    body = (
+        F.when(shape == 0, cat('{"note":["x"],"turns":', listed, "}"))
+        .when(shape == 1, listed)
+        .when(shape == 2, cat('{"note":"x","Result":', listed, "}"))
+        .when(shape == 3, cat('{"note":', F.to_json(F.struct("text")), "}"))
+        .otherwise("[]")
+    )
+    return spoken.select("conv_id", "turn", body.alias("body"))
+
+
+TURN_ITEMS_SQL = """
+    SELECT conv_id, turn, CASE WHEN shape < 3 THEN i END AS pos, CASE WHEN shape < 3 THEN line END AS text, CASE WHEN shape < 3 THEN 'S2' END AS speaker, FALSE AS has_emotion, shape >= 3 AS is_error FROM (
+        SELECT *, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM (
+            SELECT *, (conv_id + turn) % 5 AS shape FROM conversations WHERE role <> 'system')) WHERE shape < 3 OR i = 1"""
+
+
 def verdicts(v: Views):
     return replies.content_verdicts(bodies(v))
 
@@ -183,6 +205,14 @@ def register(q) -> None:
                   CAST(NULL AS VARCHAR) AS emotion, CASE n WHEN 3 THEN 'overlap' END AS turn_type
            FROM documents, (VALUES (1), (2), (3)) e(n) WHERE doc_id % 4 <> 2 OR n = 1""",
     )
+    q(
+        "formatter_reply_items",
+        lambda v: replies.turn_items(turn_replies(v)).select(
+            "conv_id", "turn", "pos", F.try_element_at("item", F.lit("text")).alias("text"), F.try_element_at("item", F.lit("speaker")).alias("speaker"),
+            F.try_element_at("item", F.lit("emotion")).isNotNull().alias("has_emotion"), "is_error",
+        ),
+        TURN_ITEMS_SQL,
+    )
     q(
         "turn_field_projection",
         lambda v: requests.judge_view(v.turns_timed.drop("present_keys")).join(requests.editor_view(v.turns_timed).select("conv_id", "pos", "overlaps_with"), ["conv_id", "pos"]),

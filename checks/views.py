@@ -266,6 +266,8 @@ class Views:
         related = m != 1
         partner = F.when(m == 2, pos + 1).otherwise(pos - 1)
         cut = (m == 2) & (kind == "Interruption")
+        # some interrupters are themselves interrupted, by the first turn
+        cutter_cut = (m == 0) & (kind == "Interruption") & (c("conv_id") % 3 == 0) & (pos % 2 == 0)
         return turns_raw.select(
             "conv_id",
             "pos",
@@ -281,11 +283,11 @@ class Views:
             F.when(k == 4, "Chatter").when(m == 0, kind).otherwise("Normal").alias("turn_type"),
             F.when(related, F.when(k == 8, None).when(k == 10, "t9999").otherwise(name(partner))).alias("overlaps_with"),
             F.when(related & ~k.isin(8, 11), F.when(k == 9, "Overlapping").when(k == 12, "Weird").otherwise(kind)).alias("overlaps_kind"),
-            ((cut & ~k.isin(18, 20)) | k.isin(19, 21, 22)).alias("interrupted"),
+            ((cut & ~k.isin(18, 20)) | k.isin(19, 21, 22) | cutter_cut).alias("interrupted"),
             F.when(k == 19, None)
             .when(k == 20, "t1")
             .when(k == 21, name(pos - 1))
-            .when(k == 22, "t1")
+            .when((k == 22) | cutter_cut, "t1")
             .when(cut & (k != 18), name(pos + 1))
             .alias("interrupted_by"),
             F.array(*[F.lit(f) for f in fv.TURN_FIELDS]).alias("_all"),

@@ -166,8 +166,9 @@ def build(domains: list[str], kinds: list[str]) -> dict[str, str]:
         FROM conversations"""
     k = "((conv_id * 7 + pos) % 40)"
     v["timed_base"] = f"""
-        SELECT *, {k} AS k, pos % 3 AS m, ((pos - 1) // 3) * 15.0::DOUBLE AS base,
-               {pick(kinds, '((CASE WHEN pos % 3 = 2 THEN pos + 1 ELSE pos END) // 3) % 3')} AS kind FROM turns_raw"""
+        SELECT *, m = 0 AND kind = 'Interruption' AND conv_id % 3 = 0 AND pos % 2 = 0 AS cutter_cut FROM (
+            SELECT *, {k} AS k, pos % 3 AS m, ((pos - 1) // 3) * 15.0::DOUBLE AS base,
+                   {pick(kinds, '((CASE WHEN pos % 3 = 2 THEN pos + 1 ELSE pos END) // 3) % 3')} AS kind FROM turns_raw)"""
     v["timed_spans"] = """
         SELECT *, CASE WHEN m = 1 THEN base WHEN m = 2 THEN base + 5 WHEN k = 17 THEN base + 5
                        WHEN kind = 'Interruption' THEN CASE WHEN k = 15 THEN base + 11 ELSE base + 9.6::DOUBLE END
@@ -187,8 +188,8 @@ def build(domains: list[str], kinds: list[str]) -> dict[str, str]:
                CASE WHEN k = 4 THEN 'Chatter' WHEN m = 0 THEN kind ELSE 'Normal' END AS turn_type,
                CASE WHEN m <> 1 THEN CASE WHEN k = 8 THEN NULL WHEN k = 10 THEN 't9999' WHEN m = 2 THEN 't' || (pos + 1) ELSE 't' || (pos - 1) END END AS overlaps_with,
                CASE WHEN m <> 1 AND k NOT IN (8, 11) THEN CASE WHEN k = 9 THEN 'Overlapping' WHEN k = 12 THEN 'Weird' ELSE kind END END AS overlaps_kind,
-               (m = 2 AND kind = 'Interruption' AND k NOT IN (18, 20)) OR k IN (19, 21, 22) AS interrupted,
-               CASE WHEN k = 19 THEN NULL WHEN k = 20 THEN 't1' WHEN k = 21 THEN 't' || (pos - 1) WHEN k = 22 THEN 't1'
+               (m = 2 AND kind = 'Interruption' AND k NOT IN (18, 20)) OR k IN (19, 21, 22) OR cutter_cut AS interrupted,
+               CASE WHEN k = 19 THEN NULL WHEN k = 20 THEN 't1' WHEN k = 21 THEN 't' || (pos - 1) WHEN k = 22 OR cutter_cut THEN 't1'
                     WHEN m = 2 AND kind = 'Interruption' AND k <> 18 THEN 't' || (pos + 1) END AS interrupted_by,
                k <> 23 AS complete
         FROM timed_spans"""

@@ -228,6 +228,29 @@ def edit_patches(bodies: DataFrame, column: str = "body") -> DataFrame:
     ).where(F.col("turn_id") != "")
 
 
+def turn_items(bodies: DataFrame, column: str = "body") -> DataFrame:
+    """Items of a formatter's reply, one row each in their order, for ``normalise_items``.
+
+    Accepts ``{"turns": [...]}``, a bare list, or one list under any key.  A reply without
+    a list of objects is one row with ``is_error`` and no item.  A JSON null reads as
+    absent.
+    """
+    body = F.col(column)
+    parsed = bodies.withColumn("_f", fields(body))
+    starts = lambda v: F.startswith(v, F.lit("["))
+    named = raw(F.col("_f"), "turns")
+    lists = F.filter(F.map_values("_f"), starts)
+    listed = F.when(starts(body), body).when(starts(named), named).otherwise(F.try_element_at(lists, F.lit(1)))
+    rows = parsed.select(*bodies.columns, F.posexplode_outer(objects(listed)).alias("_n", "_e"))
+    item = F.transform_values("_e", lambda _, v: F.when(v != "null", plain(v)))
+    return rows.select(
+        *[c for c in bodies.columns if c != column],
+        (F.col("_n") + 1).cast("bigint").alias("pos"),
+        item.alias("item"),
+        F.col("_e").isNull().alias("is_error"),
+    )
+
+
 def topics(bodies: DataFrame, column: str = "body") -> DataFrame:
     """Title and context of a topic reply; a missing title is an error."""
     f = F.col("_f")
