@@ -21,26 +21,33 @@ def stream(v: Views, name: str) -> DataFrame:
     return v.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(v.folder)
 
 
+def in_batches(v: Views, rows: DataFrame, *by: str) -> DataFrame:
+    """All rows as a stream of three micro-batches."""
+    place = f"{workspace(v)}/input"
+    rows.repartition(6, *by).write.parquet(place)
+    return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(place)
+
+
 def workspace(v: Views) -> str:
     return f"{checkpoint_root(v.spark)}/{uuid.uuid4().hex}"
 
 
 def best(v: Views) -> DataFrame:
     place = workspace(v)
-    streams.best_clips(v.as_clips(stream(v, "events")), place).awaitTermination()
+    streams.best_clips(v.as_clips(in_batches(v, v.table("events"))), place).awaitTermination()
     return streams.latest_winners(v.spark, place).select("speaker_id", "duration_seconds", "source_index", "selection_tier", "first_qualifying_index")
 
 
 def seen(v: Views) -> DataFrame:
     place = workspace(v)
-    streams.heartbeat(v.as_clips(stream(v, "events")), place).awaitTermination()
+    streams.heartbeat(v.as_clips(in_batches(v, v.table("events"))), place).awaitTermination()
     beats = v.spark.read.parquet(f"{place}/heartbeat")
     return beats.orderBy(c("batch").desc()).limit(1).select("clips_processed", "speakers_seen", "speakers_qualified")
 
 
 def progress(v: Views) -> DataFrame:
     place = workspace(v)
-    streams.progress(v.as_outcomes(stream(v, "orders")).where("accepted"), place).awaitTermination()
+    streams.progress(v.as_outcomes(in_batches(v, v.table("orders"))).where("accepted"), place).awaitTermination()
     return streams.latest_version(v.spark, f"{place}/progress", streams.PROGRESS)
 
 
@@ -51,15 +58,10 @@ def guard(v: Views) -> DataFrame:
 
 
 def validated(v: Views) -> DataFrame:
-    """Conversations arrive as rows; each micro-batch lays out its turns and checks them."""
+    """Turns of a conversation come in several micro-batches."""
     place = workspace(v)
-
-    def check(batch: DataFrame, number: int) -> None:
-        issues = streams.quality.validate_turns(v.as_timed(v.as_turns(batch)), minimum=12)
-        issues.write.mode("overwrite").parquet(f"{place}/issues/batch={number}")
-
-    streams._start(stream(v, "conversations"), place, check).awaitTermination()
-    return v.spark.read.parquet(f"{place}/issues").select("conv_id", "pos", "turn_id", "level", "rule", "message")
+    streams.validate(in_batches(v, v.turns_timed, "pos"), place, minimum=12).awaitTermination()
+    return streams.latest_issues(v.spark, place).select("conv_id", "pos", "turn_id", "level", "rule", "message")
 
 
 def register(q) -> None:

@@ -13,15 +13,6 @@ from duologue.functions.text import last_wins, round_half_up, strip
 from duologue.operators.ordered import BLOCK_ROWS, block_of, number_rows
 
 
-def explode_transcript(transcripts: DataFrame, column: str = "transcript") -> DataFrame:
-    """One row per cleaned transcript line, with its 1-based position."""
-    lines = transcripts.select(
-        *[c for c in transcripts.columns if c != column],
-        F.posexplode(F.split(dx.clean_transcript(F.col(column)), "\n", -1)).alias("_p", "line"),
-    )
-    return lines.withColumn("pos", F.col("_p") + 1).drop("_p")
-
-
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """Tagged lines to turn fields."""
     return lines.withColumn("_turn", dx.parse_line(F.col(column))).select(

@@ -160,10 +160,27 @@ def failure_guard(
     return _start(outcomes, folder, advance, trigger=trigger)
 
 
-def validate(turns: DataFrame, folder: str, **trigger) -> StreamingQuery:
-    """Check the conversations of each micro-batch; a file holds whole conversations."""
+def validate(turns: DataFrame, folder: str, minimum: int = 2, **trigger) -> StreamingQuery:
+    """Check every conversation that a micro-batch adds turns to, with all its turns so far.
+
+    A conversation may come in any number of batches; its newest check counts
+    (``latest_issues``).  A batch reads the stored turns of its own conversations only.
+    """
 
     def check(batch: DataFrame, number: int) -> None:
-        quality.validate_turns(batch).write.mode("overwrite").parquet(f"{folder}/issues/batch={number}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{folder}/turns/batch={number}")
+        # every check sees the same rows when a batch is run again
+        stored = spark.read.parquet(f"{folder}/turns").where(F.col("batch") <= number).drop("batch")
+        touched = spark.read.parquet(f"{folder}/turns/batch={number}").select("conv_id").distinct()
+        touched.write.mode("overwrite").parquet(f"{folder}/checked/batch={number}")
+        whole = stored.join(touched, "conv_id", "left_semi")
+        quality.validate_turns(whole, minimum=minimum).write.mode("overwrite").parquet(f"{folder}/issues/batch={number}")
 
     return _start(turns, folder, check, trigger=trigger)
+
+
+def latest_issues(spark: SparkSession, folder: str) -> DataFrame:
+    """Issues of each conversation's newest check."""
+    newest = spark.read.parquet(f"{folder}/checked").groupBy("conv_id").agg(F.max("batch").alias("batch"))
+    return spark.read.parquet(f"{folder}/issues").join(newest, ["conv_id", "batch"]).drop("batch")
