@@ -230,14 +230,14 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int
     such rows has a null ``group``.  Other columns are not read.
     """
     prints = workers.stored(fingerprints(docs, key, text))
-    distinct = prints.groupBy("fp").agg(F.min("key").alias("first"))
+    distinct = prints.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("n"))
     hung = components.connected(links(distinct, block))
     within = hung.union(hung.select("root", "root").distinct())
     rooted = distinct.join(within.toDF("fp", "root"), "fp")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
     named = rooted.join(lowest, "root").select("fp", "lowest")
-    of = distinct.join(named, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("group"))
-    return prints.join(of, "fp").select("key", "fp", "group")
+    of = workers.stored(distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("group")))
+    return workers.join_counted(prints, of, "fp", prints.count()).select("key", "fp", "group")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
