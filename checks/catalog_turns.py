@@ -118,17 +118,19 @@ def repaired(v: Views):
 
 LAID_SQL = "(" + walk_sql("turns_full") + " SELECT l.*, t.text, t.emotion FROM laid l JOIN turns_full t USING (conv_id, pos))"
 REPAIR_INPUT = f"""(
-    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS pos, speaker, refused, ratio,
-           CASE WHEN k < 5 AND NOT refused THEN 'short ' || pos ELSE text END AS text, CASE WHEN k = 7 AND NOT refused THEN 'Angry' ELSE emotion END AS emotion,
-           CASE WHEN k = 5 AND NOT refused THEN 'Overlapping' ELSE turn_type END AS turn_type
-    FROM (SELECT a.*, (a.conv_id + a.pos) % 12 AS k, a.conv_id % 7 = 6 OR count(*) FILTER ((a.conv_id + a.pos) % 12 <> 3) OVER (PARTITION BY a.conv_id) = 0 AS refused,
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS pos, speaker, ratio,
+           CASE WHEN k < 5 THEN 'short ' || pos ELSE text END AS text, CASE WHEN k = 7 THEN 'Angry' ELSE emotion END AS emotion,
+           CASE WHEN k = 5 THEN 'Overlapping' ELSE turn_type END AS turn_type
+    FROM (SELECT a.*, (a.conv_id + a.pos) % 12 AS k,
                  CASE WHEN a.turn_type IN ('Overlapping', 'Backchanneling') AND h.planned_end_sec > h.planned_start_sec
                       THEN least(greatest((a.planned_start_sec - h.planned_start_sec) / (h.planned_end_sec - h.planned_start_sec), 0.0), 1.0) END AS ratio
           FROM first_layout a LEFT JOIN first_layout h ON h.conv_id = a.conv_id AND 't' || h.pos = a.overlaps_with)
-    WHERE refused OR k <> 3)"""
+    WHERE k <> 3 AND conv_id % 7 <> 6)"""
 REPAIR_SQL = walk_sql("repair_input").replace("WITH RECURSIVE input AS", f"WITH RECURSIVE first_layout AS MATERIALIZED {LAID_SQL}, repair_input AS MATERIALIZED {REPAIR_INPUT}, input AS") + """
-    SELECT l.conv_id, l.pos, 't' || l.pos AS turn_id, l.speaker, t.text, t.emotion, planned_start_sec, planned_end_sec, l.turn_type, overlaps_with, overlaps_kind, interrupted, interrupted_by, t.refused
-    FROM laid l JOIN repair_input t USING (conv_id, pos)"""
+    SELECT l.conv_id, l.pos, 't' || l.pos AS turn_id, l.speaker, t.text, t.emotion, planned_start_sec, planned_end_sec, l.turn_type, overlaps_with, overlaps_kind, interrupted, interrupted_by, FALSE AS refused
+    FROM laid l JOIN repair_input t USING (conv_id, pos)
+    UNION ALL SELECT conv_id, pos, 't' || pos, speaker, text, emotion, planned_start_sec, planned_end_sec, turn_type, overlaps_with, overlaps_kind, interrupted, interrupted_by, TRUE
+    FROM first_layout WHERE conv_id NOT IN (SELECT conv_id FROM repair_input)"""
 
 
 def edited(v: Views):

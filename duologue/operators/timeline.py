@@ -343,13 +343,10 @@ def repair(turns: DataFrame, edits: DataFrame, keys: Sequence[str] = ("conv_id",
     the new layout decides which relations still hold.  Edits that would delete every turn
     of a conversation are refused: it comes back as it was, ``refused`` is true.
     """
-    before = recover_ratio(turns, keys)
-    after = apply_edits(before, edits, keys)
+    after = apply_edits(recover_ratio(turns, keys), edits, keys)
     emptied = emptied_conversations(turns, after, keys)
-    columns = [*keys, "pos", "speaker", "turn_type", "ratio", "emotion", "text"]
-    unedited = before.join(emptied, list(keys), "left_semi")
     # stored, as the layout reads it several times
-    dense = cut_lineage(renumber(after.select(*columns).unionByName(unedited.select(*columns)), keys)).drop("turn_id")
-    marked = emptied.withColumn("_refused", F.lit(True))
-    laid = assemble_timeline(dense, keys).join(marked, list(keys), "left")
-    return laid.withColumn("refused", F.coalesce("_refused", F.lit(False))).drop("_refused")
+    dense = renumber(after.select(*keys, "pos", "speaker", "turn_type", "ratio", "emotion", "text"), keys)
+    laid = assemble_timeline(cut_lineage(dense).drop("turn_id"), keys)
+    unedited = turns.join(emptied, list(keys), "left_semi").select(*laid.columns)
+    return laid.withColumn("refused", F.lit(False)).unionByName(unedited.withColumn("refused", F.lit(True)))
