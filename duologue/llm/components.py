@@ -3,7 +3,8 @@
 Alternating rounds re-hang neighbours on the smallest node around (first from each node's
 larger neighbours, then from its smaller ones) until every node hangs on the smallest of
 its component; few rounds do, as paths shrink by half and more.  Each round is joins and
-map-side minima, stored before the next.
+map-side minima, stored before the next.  Nodes with very many neighbours are joined by
+broadcast (a thousand at most), so that no task gets all of a hub's edges.
 """
 
 from __future__ import annotations
@@ -74,10 +75,12 @@ def connected(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        total = 2 * state[0]
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = workers.join_counted(both.where("v > u"), least, "u", total).where("v <> m")
+        large = workers.stored(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = workers.join_counted(large, low, "u", total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = workers.stored(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         before, state = state, _state(now)
         if state == before:
