@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, mixing, packing, pii, repetition, simhash, suffix_tree, topk, url_rules, warc, workers
+from duologue.llm import language, mixing, packing, pii, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
 from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +39,7 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    scored = suffix_tree.score(docs, workers.hash_remainder(F.col("doc_id"), 7) != 2)
+    scored = suffix_counts.score(docs, workers.hash_remainder(F.col("doc_id"), 7) != 2)
     return scored.withColumnRenamed("key", "doc_id")
 
 

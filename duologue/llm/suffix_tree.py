@@ -11,7 +11,8 @@ What is broadcast has a bound in shares of the corpus: words of at least ``FREQU
 of all tokens are symbols of their own (at most 1/FREQUENT of them), all others are one
 symbol that the root divides by their counts; contexts are at most 1/SHARE for each level,
 their entries at most 1/ENTRY.  The counts behind them, and those of every other word, are
-tables that grow with the corpus; rarer words are looked up by a join.
+tables that grow with the corpus; rarer words are looked up by a join.  ``suffix_counts``
+has the whole tree, without shares.
 """
 
 from __future__ import annotations
