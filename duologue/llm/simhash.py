@@ -222,6 +222,12 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     return together.mapInArrow(lambda batches: components.contract(_links(batches)), "u long, v long")
 
 
+def _rooted(distinct: DataFrame, block: int) -> DataFrame:
+    """(fp, root) of the fingerprints that have a link."""
+    hung = components.connected(links(distinct, block))
+    return hung.union(hung.select("root", "root").distinct()).toDF("fp", "root")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per input row: key, fp, and ``group``, the smallest key that links reach.
 
@@ -231,9 +237,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int
     """
     prints = workers.stored(fingerprints(docs, key, text))
     distinct = prints.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("n"))
-    hung = components.connected(links(distinct, block))
-    within = hung.union(hung.select("root", "root").distinct())
-    rooted = distinct.join(within.toDF("fp", "root"), "fp")
+    rooted = distinct.join(_rooted(distinct, block), "fp")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
     named = rooted.join(lowest, "root").select("fp", "lowest")
     of = workers.stored(distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("group")))
@@ -243,9 +247,17 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group, the one with the smallest key; columns as they are.
 
-    Of repeated rows with that key one stays.  Rows with a null key stay, as no decision
-    can name them.
+    Of several rows with that key it is the one with the smallest digest of its text, then
+    of all its columns, so a rerun chooses the same.  Rows with a null key come last, and
+    one of them stays only if its group has no other rows.
     """
-    keep = groups(docs, key, text).where(F.col("key") == F.col("group")).select(F.col("key").alias(key)).distinct()
-    first = docs.join(keep, key, "left_semi").dropDuplicates([key])
-    return first.select(*docs.columns).union(docs.where(docs[key].isNull()))
+    every = F.sha2(F.to_json(F.struct(*(docs[c] for c in docs.columns)), {"ignoreNullFields": "false"}), 256)
+    own = F.sha2(F.coalesce(docs[text].cast("string"), F.lit("")), 256)
+    order = F.struct(docs[key].isNull().alias("last"), docs[key].alias("key"), own.alias("own"), every.alias("every"))
+    prints = fingerprints(docs.select(order.alias("order"), docs[text].alias("text")), "order", "text")
+    distinct = workers.stored(prints.groupBy("fp").agg(F.min("key").alias("first")))
+    at = F.coalesce("root", "fp").alias("root")
+    least = distinct.join(_rooted(distinct, BLOCK), "fp", "left").select(at, "first").groupBy("root").agg(F.min("first").alias("first"))
+    keep = workers.stored(least.select(F.col("first.every").alias("every")))
+    marked = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), every.alias("every"))
+    return marked.join(keep, "every", "left_semi").dropDuplicates(["every"]).select("row.*")

@@ -101,3 +101,17 @@ def test_keep_first(spark):
     want = {r.group for r in simhash.groups(docs).where("key is not null").collect()}
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 1
     assert simhash.keep_first(rows.empty(spark)).count() == simhash.groups(rows.empty(spark)).count() == 0
+
+
+def test_keep_first_takes_rows_not_keys(spark):
+    a, b = rows.prose(21, 300), rows.prose(22, 300)
+    found = [(1, b, "x"), (1, a, "x"), (2, b, "y"), (2, a, "y"), (None, a, "z"), (None, rows.prose(23, 300), "z"), (None, rows.prose(23, 300), "z"), (1, a, "w")]
+    want = None
+    for seed in range(3):
+        random.Random(seed).shuffle(found)
+        docs = spark.createDataFrame(found, "doc_id long, text string, source string").repartition(4)
+        kept = sorted(map(str, simhash.keep_first(docs).collect()))
+        # one row of each of three groups: both texts of the repeated key 1 lead one
+        assert len(kept) == 3 and sum("doc_id=1," in r for r in kept) == 2 and sum("doc_id=None" in r for r in kept) == 1
+        want = want or kept
+        assert kept == want
