@@ -1,9 +1,9 @@
-"""Hierarchical packing of token streams into windows of several lengths.
+"""Packing of token streams into windows, best fit first.
 
-Documents are routed to tiers by length (powers of two up to the window).  Whole windows
-of long documents come first; then each tier is packed from the longest down, and what a
-window has left is filled from the longest document of the shorter tiers that fits, the
-last of them cut to fit exactly.  The rest of a pool goes to windows of the shorter tiers,
+Whole windows of long documents come first; then each window takes the longest rest that
+fits, again and again, and when none fits the shortest one is cut.  Rests are kept by
+tiers (powers of two up to the window) to find the longest that fits; the tiers have no
+windows of their own.  Only what a pool has left below one window goes to shorter windows,
 which need no padding.  Windows are finally dealt to step groups of equal size so that
 groups have near-equal attention work (the sum of squared piece lengths).
 
