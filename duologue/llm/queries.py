@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import language, mixing, packing, pii, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
+from duologue.llm import collocations, language, mixing, packing, pii, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
 from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,9 +84,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing)
+    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing, op12_collocations)
 }
 
 
@@ -155,5 +159,46 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM f"""
 
 
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM words WHERE len(w) > 0
+), counts AS MATERIALIZED (
+  SELECT lang, m AS words, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (VALUES (1), (2), (3)) AS sizes(m)
+  WHERE i + m - 1 <= len(w)
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE words = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words >= 2 AND f >= 10
+), parts AS MATERIALIZED (
+  SELECT lang, phrase, words, a, k, struct_pack(g := lang, p := array_to_string(w[1 : k], ' ')) AS lp, struct_pack(g := lang, p := array_to_string(w[k + 1 : words], ' ')) AS rp
+  FROM candidates, (VALUES (1), (2)) AS places(k) WHERE k < words
+), cuts AS (
+  SELECT c.lang, c.phrase, c.words, c.a, k, x.f AS l, y.f AS r,
+    CAST(1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM parts c JOIN counts x ON struct_pack(g := x.lang, p := x.phrase) = c.lp JOIN counts y ON struct_pack(g := y.lang, p := y.phrase) = c.rp
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, array_to_string(w[1 : 2], ' ') AS phrase, a AS longer FROM candidates WHERE words = 3
+  UNION ALL
+  SELECT lang, array_to_string(w[2 : 3], ' '), a FROM candidates WHERE words = 3
+), longest AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inner_phrases GROUP BY ALL
+), kept AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM weakest s LEFT JOIN longest g ON g.lang = s.lang AND g.phrase = s.phrase
+  WHERE g.longer IS NULL OR 100 * g.longer < 50 * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL, "op7_warc": WARC_SQL}
+    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL, "op7_warc": WARC_SQL, "op12_collocations": COLLOCATIONS_SQL}
