@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import collocations, language, mixing, packing, pii, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
+from duologue.llm import collocations, language, mixing, packing, pii, repair, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
 from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,9 +88,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.summaries(repair.damaged(conversations), conversations.withColumnRenamed("conv_id", "key"), "key").withColumnRenamed("key", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing, op12_collocations)
+    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing, op12_collocations, op13_repair)
 }
 
 
@@ -200,5 +205,71 @@ WITH pieces AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000"""
 
 
+REPAIR_SQL = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda v, x: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY b) AS crc
+  FROM range(256) AS bytes(b)
+), marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda v, b: xor(v >> 8, crc[(xor(v, b) & 255) + 1]))) % 20 AS fault
+  FROM conversations, steps
+), damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE fault <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged
+), faults AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    CASE WHEN last = '' THEN 'blank'
+      WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM ordered
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faults GROUP BY conv_id
+), moves(state, letter, initial, next, price) AS (
+  VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (3, 'K', 'u', 2, 0),
+    (0, 'R', NULL, 2, 1), (1, 'R', NULL, 2, 1), (2, 'R', NULL, 3, 1), (3, 'R', NULL, 2, 1),
+    (0, 'D', NULL, 0, 2), (1, 'D', NULL, 1, 2), (2, 'D', NULL, 2, 2), (3, 'D', NULL, 3, 2)
+), inserts(state, next, letters, lines) AS (
+  VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''),
+    (0, 2, 'I', chr(10) || 'user:'), (1, 2, 'I', chr(10) || 'user:'), (2, 3, 'I', chr(10) || 'assistant:'), (3, 2, 'I', chr(10) || 'user:'),
+    (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), walked AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM counted
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT w.conv_id, f.i, m.next AS state,
+      w.cost + 5 * length(x.letters) + m.price + CASE WHEN f.fault = 'truncated' AND m.letter <> 'D' THEN 5 ELSE 0 END AS cost,
+      w.audit || x.letters || m.letter AS audit,
+      w.lines || x.lines || CASE m.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text
+        ELSE chr(10) || CASE m.next WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || f.text END AS lines
+    FROM walked w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN inserts x ON x.state = w.state JOIN moves m ON m.state = x.next
+    WHERE (m.initial IS NULL OR m.initial = f.initial) AND (m.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  ) AS tried
+  QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1
+), ended AS (
+  SELECT w.conv_id, w.cost + 5 * length(x.letters) AS cost, w.audit || x.letters AS audit, w.lines || x.lines AS lines
+  FROM walked w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+  JOIN inserts x ON x.state = w.state AND (x.next = 3 OR (x.state = 0 AND x.next = 0))
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 5 * length(x.letters), w.audit || x.letters) = 1
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL, "op7_warc": WARC_SQL, "op12_collocations": COLLOCATIONS_SQL}
+    return {"op1_url_rules": _url_sql(), "op4_topk": TOPK_SQL, "op7_warc": WARC_SQL, "op12_collocations": COLLOCATIONS_SQL, "op13_repair": REPAIR_SQL}
