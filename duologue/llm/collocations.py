@@ -13,9 +13,11 @@ candidate needs: parts of a candidate are at least as frequent as the candidate.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,10 @@ FLUSH_WORDS = 1 << 22
 CHUNK_BYTES = 1 << 20
 OUT_ROWS = 1 << 16
 
-#: A lead of this share of a sample's windows is spread over ``SALTS`` tasks by its last word.
-#: The sample steers the layout only; the counts cover all rows.
+#: Windows of one first word go to so many tasks, by their second word.
+BUCKETS = 16
+#: Two first words that have this share of a sample's windows go to ``SALTS`` tasks, by the last
+#: word.  The sample steers the layout only; the counts cover all rows.
 HOT_SHARE = 500
 SALTS = 64
 SAMPLE = 0.01
@@ -64,8 +68,8 @@ class Windows:
     Words are numbered per flush; the numbers of a window fit one 64-bit key.
     """
 
-    def __init__(self, order: int) -> None:
-        self.order = order
+    def __init__(self, order: int, hot: dict[str, list[tuple[bytes, bytes]]]) -> None:
+        self.order, self.hot = order, hot
         self.bits = 63 // order
         self.chunk = min(CHUNK_BYTES, 1 << (self.bits - 1))
         self.restart()
@@ -92,19 +96,22 @@ class Windows:
         words[0] = b""  # the pad, first in order
         rank = np.empty(len(words), np.int64)
         rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-        texts = pa.array(sorted(words), pa.binary()).cast(pa.string())
+        ordered = sorted(words)
+        texts = pa.array(ordered, pa.binary()).cast(pa.string())
+        hashes = np.fromiter(map(crc32, ordered), np.int64, len(ordered))
         held, self.ids = self.ids, {}
         for lang, parts in held.items():
             ids = np.concatenate(parts)
             tail = ids[max(0, len(ids) - self.order + 1) :] if lang == unfinished else ids[:0]
-            yield from self.counted(lang, rank[ids], len(ids) - len(tail), texts)
+            pairs = [(rank[self.numbers[x]], rank[self.numbers[y]]) for x, y in self.hot.get(lang, []) if x in self.numbers and y in self.numbers]
+            yield from self.counted(lang, rank[ids], len(ids) - len(tail), texts, hashes, [x << self.bits | y for x, y in pairs])
             held[lang] = [tail]
         self.restart()
         if unfinished in held and len(held[unfinished][0]):
             kept = [words[i] or b"." for i in held[unfinished][0].tolist()]
             self.ids[unfinished] = [np.array([self.numbers[w] for w in kept], np.int64)]
 
-    def counted(self, lang: str, ids: np.ndarray, starts: int, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+    def counted(self, lang: str, ids: np.ndarray, starts: int, texts: pa.Array, hashes: np.ndarray, hot: list[int]) -> Iterator[pa.RecordBatch]:
         """Windows that begin at the first ``starts`` words: lead columns, counted."""
         padded = np.concatenate([ids, np.zeros(self.order, np.int64)])
         column = padded[:starts]
@@ -116,24 +123,31 @@ class Windows:
         mask = (1 << self.bits) - 1
         for at in range(0, len(found), OUT_ROWS):
             some = found[at : at + OUT_ROWS]
-            columns = [texts.take(pa.array(some >> self.bits * (self.order - 1 - j) & mask)) for j in range(self.order)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some), pa.string()), *columns, pa.array(counts[at : at + OUT_ROWS])],
-                ["lang", *names(self.order), "c"],
-            )
-
-
-def names(order: int) -> list[str]:
-    return [f"w{j + 1}" for j in range(order)]
-
-
-def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS) -> DataFrame:
-    """Padded windows ``w1 .. wN`` per language with partial counts ``c``; equal windows may come in several rows."""
+            columns = [some >> self.bits * (self.order - 1 - j) & mask for j in range(self.order)]
+            salt = hashes[columns[1]] % BUCKETS
+            if hot:
+                spread = np.isin(some >> self.bits * (self.order - 2), hot)
+                salt = np.where(spread, BUCKETS + hashes[columns[-1]] % SALTS, salt)
+            words = [texts.take(pa.array(c)) for c in columns]
+            rest = pc.utf8_rtrim(pc.binary_join_element_wise(*words[1:], " "), " ")
+            values = [pa.array([lang] * len(some), pa.string()), words[0], pa.array(salt, pa.int32()), rest, pa.array(counts[at : at + OUT_ROWS])]
+            yield pa.RecordBatch.from_arrays(values, ["lang", "first", "salt", "rest", "c"])
+
+
+def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS, hot: list[tuple[str, str, str]] = ()) -> DataFrame:
+    """Windows as ``lang, first, salt, rest`` (the leads, pads left out) with partial counts ``c``; equal windows may come in several rows.
+
+    ``hot`` lists languages and first two words of windows to be spread by their last word;
+    ``salt`` is the same wherever a window occurs.
+    """
     workers.importable(docs.sparkSession)
     rows = docs.select(F.coalesce(docs[lang].cast("string"), F.lit(UNKNOWN)).alias("lang"), docs[text].cast("string").alias("text"))
+    spread: dict[str, list[tuple[bytes, bytes]]] = {}
+    for name, x, y in hot:
+        spread.setdefault(name, []).append((x.encode(), y.encode()))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(order)
+        windows = Windows(order, spread)
         for batch in batches:
             langs, texts = batch["lang"].to_pylist(), batch["text"].cast(pa.binary())
             for i, name in enumerate(langs):
@@ -142,21 +156,16 @@ def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order:
                     yield from windows.add(name, value)
         yield from windows.flush()
 
-    return rows.mapInArrow(each, ", ".join(f"{c} string" for c in ("lang", *names(order))) + ", c long")
+    return rows.mapInArrow(each, "lang string, first string, salt int, rest string, c long")
 
 
-def salted(windows: DataFrame, sample: DataFrame, order: int) -> DataFrame:
-    """``windows`` with ``salt``: 0, or one of ``SALTS`` by the last word where the sample's lead is frequent."""
-    lead = ["lang", *names(order)[:-1]]
-    counts = workers.stored(sample.groupBy(*lead).agg(F.count("*").alias("n")).where(F.col("n") >= SALTS))
+def hot_leads(sample: DataFrame) -> list[tuple[str, str, str]]:
+    """Languages and first two words that ``HOT_SHARE`` or more of a sample's windows begin with; ``HOT_SHARE`` of them at most."""
+    lead = ["lang", "first", F.substring_index("rest", " ", 1).alias("second")]
+    counts = workers.stored(sample.groupBy(*lead).agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    # at most HOT_SHARE leads can have such a share
-    hot = [tuple(r) for r in counts.where(F.col("n") * HOT_SHARE >= total).select(*lead).collect()]
-    if not hot:
-        return windows.withColumn("salt", F.lit(0))
-    marked = windows.sparkSession.createDataFrame(hot, ", ".join(f"{c} string" for c in lead)).withColumn("hot", F.lit(True))
-    spread = F.pmod(F.xxhash64(names(order)[-1]), F.lit(SALTS)).cast("int") + 1
-    return windows.join(F.broadcast(marked), lead, "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0)).drop("hot")
+    hot = counts.where((F.col("n") * HOT_SHARE >= total) & (F.col("n") >= SALTS) & (F.col("second") != ""))
+    return [tuple(r) for r in hot.select("lang", "first", "second").collect()]
 
 
 def prefix_counts(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS, least: int = MIN_COUNT) -> DataFrame:
@@ -165,34 +174,35 @@ def prefix_counts(docs: DataFrame, lang: str = "lang", text: str = "text", order
     A null language counts as ``und``, a null text as empty; empty texts and tables give no
     rows; repeated rows count each time; other columns are not read.
     """
-    words = names(order)
-    lead, last = ["lang", *words[:-1], "salt"], words[-1]
-    windows = lead_windows(docs, lang, text, order)
-    sample = lead_windows(docs.sample(SAMPLE, seed=11), lang, text, order)
-    counted = salted(windows, sample, order).repartition(*lead).groupBy(*lead, last).agg(F.sum("c").alias("c"))
-    # Each window adds to its lead's row; one that is frequent has a row of its own, and adds nothing to fold.
-    frequent = F.col("c") >= least
-    own = F.struct(F.col(last).alias("last"), F.col("c").alias("c"), F.lit(0).cast("long").alias("whole"))
-    rest = F.struct(F.lit("").alias("last"), F.when(frequent & (F.col(last) != ""), 0).otherwise(F.col("c")).alias("c"), F.col("c").alias("whole"))
-    split = F.explode(F.when(frequent & (F.col(last) != ""), F.array(own, rest)).otherwise(F.array(rest))).alias("x")
-    folded = counted.select(*lead, split).select(*lead, "x.*")
-    folded = folded.groupBy(*lead, "last").agg(F.sum("c").alias("c"), F.sum("whole").alias("whole"))
-    # a lead below the least count folds into its first word (its other prefixes have no use if order is 2)
-    rare = (F.col("last") == "") & (F.col("whole") < least) & (F.col("salt") == 0)
-    kept = [F.when(rare, "").otherwise(F.col(w)).alias(w) for w in words[1:-1][-1:]]
-    small = folded.select("lang", *words[: max(1, order - 2)], *kept, F.col("last").alias(last), "c")
-    small = small.groupBy("lang", *words).agg(F.sum("c").alias("c"))
-    level = F.grouping_id().alias("gone")
-    rolled = small.rollup("lang", *words).agg(level, F.sum("c").alias("f"))
-    out = None
-    for n in range(order + 1):
-        # grouping_id has a bit for every column summed away
-        sort = F.col("gone") == (1 << (order - n)) - 1
-        real = sort & (F.col("f") >= least) & (F.col(words[n - 1]) != "") if n else sort
-        out = real if out is None else out | real
+    words = [f"w{j + 1}" for j in range(order)]
+    group = ["lang", "first", "salt"]
+    hot = hot_leads(lead_windows(docs.sample(SAMPLE, seed=11), lang, text, order))
+    windows = lead_windows(docs, lang, text, order, hot)
+    counted = windows.repartition(*group).groupBy(*group, "rest").agg(F.sum("c").alias("c"))
+    # Each window counts for its lead as a whole; one that is frequent has a row of its own, and adds nothing to what folds.
+    full = F.length("rest") - F.length(F.translate("rest", " ", "")) == order - 2
+    own = (F.col("c") >= least) & full & (F.col("rest") != "")
+    lead = F.when(full, F.substring_index("rest", " ", order - 2)).otherwise(F.col("rest"))
+    zero = F.lit(0).cast("long")
+    itself = F.struct(F.col("rest").alias("rest"), F.col("c").alias("c"), zero.alias("whole"))
+    others = F.struct(lead.alias("rest"), F.when(own, zero).otherwise(F.col("c")).alias("c"), F.col("c").alias("whole"))
+    folded = counted.select(*group, F.explode(F.when(own, F.array(itself, others)).otherwise(F.array(others))).alias("x"))
+    folded = folded.select(*group, "x.*").groupBy(*group, "rest").agg(F.sum("c").alias("c"), F.sum("whole").alias("whole"))
+    # A lead below the least count loses its last word; spread ones are not whole here.
+    rare = (F.col("whole") > 0) & (F.col("whole") < least) & (F.col("salt") < BUCKETS) & (F.col("rest") != "")
+    shorter = F.substring_index("rest", " ", order - 3) if order > 3 else F.lit("")
+    small = folded.select("lang", "first", F.when(rare, shorter).otherwise(F.col("rest")).alias("rest"), "c")
+    small = small.groupBy("lang", "first", "rest").agg(F.sum("c").alias("c"))
+    leads = F.split("rest", " ")
+    small = small.select("lang", F.col("first").alias(words[0]), *[F.coalesce(F.get(leads, F.lit(j)), F.lit("")).alias(w) for j, w in enumerate(words[1:])], "c")
+    rolled = small.rollup("lang", *words).agg(F.grouping_id().alias("gone"), F.sum("c").alias("f"))
+    # grouping_id has a bit for every column summed away; a shorter row whose last word is the pad is no phrase
+    real = F.col("gone") == (1 << order) - 1
+    for n in range(1, order + 1):
+        real |= (F.col("gone") == (1 << (order - n)) - 1) & (F.col("f") >= least) & (F.col(words[n - 1]) != "")
     length = F.lit(order) - F.bit_count("gone")
     phrase = F.concat_ws(" ", *[F.when(length > j, F.col(w)) for j, w in enumerate(words)])
-    return rolled.where(out & F.col("lang").isNotNull()).select("lang", phrase.alias("phrase"), length.alias("words"), "f")
+    return rolled.where(real).select("lang", phrase.alias("phrase"), length.alias("words"), "f")
 
 
 def _key(phrase: Column) -> Column:
