@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duologue.llm import collocations, language, mixing, packing, pii, repair, repetition, simhash, suffix_counts, topk, url_rules, warc, workers
+from duologue.llm import collocations, language, mixing, packing, pii, repair, repetition, simhash, suffix_counts, topk, url_rules, warc, window_packing, workers
 from duologue.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.packed(_table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -95,7 +99,7 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing, op12_collocations, op13_repair)
+    for f in (op1_url_rules, op2_personal_data, op3_suffix_tree, op4_topk, op5_repetition, op6_simhash, op7_warc, op8_mixing, op9_language, op10_packing, op11_window_packing, op12_collocations, op13_repair)
 }
 
 

@@ -30,10 +30,12 @@ from duologue.llm.packing import END, encoder
 
 WINDOW = 2048
 #: Configurations a round of the linear program takes, and rounds before the rest is packed best fit.
-STEPS = 300
+STEPS = 120
 ROUNDS = 3
 #: How fast the price of a covered length falls.
 RATE = 0.5
+#: Powers of the size by which prices begin; one after the other, until the lower bound is met.
+SLOPES = (1.3, 1.05, 2.0)
 #: Sequences of full windows begin here, by task; below lie those of the program.
 FULL = 1 << 61
 
@@ -86,36 +88,34 @@ def dearest(prices: np.ndarray, left: np.ndarray, window: int) -> tuple[list[int
     return out, most
 
 
-def program(histogram: np.ndarray, window: int, steps: int = STEPS, rate: float = RATE) -> tuple[dict[tuple[int, ...], float], float]:
+def program(histogram: np.ndarray, window: int, slope: float, steps: int = STEPS, rate: float = RATE) -> tuple[dict[tuple[int, ...], float], float]:
     """Fractional counts of configurations that cover the histogram (nearly), and a lower bound of any packing's windows.
 
     Every step takes the dearest configuration as often as an equal share of the expected
-    windows, no length beyond its pieces; the price of a length is its size times an
-    exponential of how much of it is still uncovered compared with the whole.
+    windows, no length beyond its pieces.  The price of a length grows a little faster than
+    its size, so that short pieces stay to fill gaps, times an exponential of how far its
+    coverage lags behind the steps made.
     """
     sizes = np.arange(len(histogram))
     need = histogram.astype(float)
-    total = float(need @ sizes)
-    share = total / window / steps
-    covered = np.zeros(len(need))
+    bound = float(need @ sizes) / window
+    share = bound / steps
+    worth = (sizes / window) ** slope
+    covered, lag = np.zeros(len(need)), np.zeros(len(need))
     counts: dict[tuple[int, ...], float] = {}
-    bound = total / window
-    lags = np.zeros(len(need))
-    for step in range(steps):
+    for step in range(2 * steps):
         rest = need - covered
         alive = rest > 1e-9
         if not alive.any():
             break
-        goal = min(1.0, (step + 1) / steps)
-        lags[alive] = goal - covered[alive] / need[alive]
-        prices = np.where(alive, sizes * np.exp(rate * np.clip(lags, -1, 1)) / window, 0.0)
+        lag[alive] = min(1.0, (step + 1) / steps) - covered[alive] / need[alive]
+        prices = np.where(alive, worth * np.exp(rate * lag), 0.0)
         config, most = dearest(prices, np.ceil(rest).astype(np.int64), window)
-        if not config:
-            break
         kinds, times = np.unique(config, return_counts=True)
-        much = float(min(share, (rest[kinds] / times).min())) if share > 1 else float((rest[kinds] / times).min())
-        much = max(much, 1e-6)
-        counts[tuple(sorted(config, reverse=True))] = counts.get(tuple(sorted(config, reverse=True)), 0.0) + much
+        most_times = float((rest[kinds] / times).min())
+        much = max(min(share, most_times) if share > 1 else most_times, 1e-6)
+        name = tuple(sorted(config, reverse=True))
+        counts[name] = counts.get(name, 0.0) + much
         covered[kinds] += times * much
         bound = max(bound, float(prices @ need) / most)  # prices over the dearest one's are a solution of the dual
     return counts, bound
@@ -142,18 +142,18 @@ def best_fit(pieces: list[int], window: int) -> list[list[int]]:
     return bins
 
 
-def solve(histogram: np.ndarray, window: int = WINDOW) -> Bins:
-    """Configurations and how many windows each has; together exactly the histogram's pieces.
-
-    ``histogram[s]`` is the number of pieces of ``s`` tokens, below the window.
-    """
+def rounded(histogram: np.ndarray, window: int, slope: float) -> tuple[Bins, float]:
+    """Whole counts of configurations for exactly the histogram's pieces, and the lower bound of the first round."""
     left = histogram.astype(np.int64).copy()
     out: Bins = []
+    least = 0.0
     for _ in range(ROUNDS):
         before = int(left.sum())
         if not before:
             break
-        for config, much in sorted(program(left, window)[0].items(), reverse=True):
+        counts, bound = program(left, window, slope)
+        least = least or bound
+        for config, much in sorted(counts.items(), reverse=True):
             kinds, times = np.unique(config, return_counts=True)
             n = min(int(much + 1e-6), int((left[kinds] // times).min()))
             if n > 0:
@@ -162,7 +162,26 @@ def solve(histogram: np.ndarray, window: int = WINDOW) -> Bins:
         if int(left.sum()) > before // 2:
             break
     rest = np.repeat(np.arange(len(left)), left).tolist()
-    return out + [(1, b) for b in best_fit(rest, window)]
+    return out + [(1, b) for b in best_fit(rest, window)], least
+
+
+def solve(histogram: np.ndarray, window: int = WINDOW) -> Bins:
+    """Configurations and how many windows each has; together exactly the histogram's pieces.
+
+    ``histogram[s]`` is the number of pieces of ``s`` tokens, below the window.
+    """
+    best: Bins = []
+    for slope in SLOPES:
+        bins, bound = rounded(histogram, window, slope)
+        if not best or windows(bins) < windows(best):
+            best = bins
+        if windows(best) <= bound + 1 - 1e-9:
+            break
+    return best
+
+
+def windows(bins: Bins) -> int:
+    return sum(n for n, _ in bins)
 
 
 def slots(bins: Bins) -> list[tuple[int, int, int, int, int, int]]:
