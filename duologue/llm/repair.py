@@ -182,7 +182,7 @@ def coded(turns: DataFrame) -> DataFrame:
     return joined.select(*rows.columns, F.coalesce("first", F.lit(False)).alias("first"))
 
 
-def segments(turns: DataFrame) -> DataFrame:
+def segments(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Searched segments of all conversations: ``key`` and ``SEGMENT_FIELDS``; part and seq are their order."""
     workers.importable(turns.sparkSession)
     order = ["key", "turn", "role", "digest"]
@@ -190,7 +190,7 @@ def segments(turns: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for seq, (key, first, found) in enumerate(_cut(batches)):
+        for seq, (key, first, found) in enumerate(_cut(batches, segment)):
             yield _searched(key, part, seq, first, found)
 
     kind = dict(rows.dtypes)["key"]
@@ -213,8 +213,8 @@ def _merged(function, rows: int = 512):
     return each
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, bool, list[tuple]]]:
-    """Runs of at most ``SEGMENT`` turns of one conversation: its key (an array of one), whether it surely begins one, its turns."""
+def _cut(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[tuple[pa.Array, bool, list[tuple]]]:
+    """Runs of at most ``segment`` turns of one conversation: its key (an array of one), whether it surely begins one, its turns."""
     held: list[tuple] = []
     key = current = None
     begins, some = False, False
@@ -230,7 +230,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, bool, li
             kind = {"s": 0, "u": 1, "a": 2}.get(role[:1], 3)
             state = "blank" if fault == "blank" else fault if first else "duplicate"
             for copy in range(n):
-                if len(held) == SEGMENT:
+                if len(held) == segment:
                     yield key, begins, held
                     held, begins = [], False
                 held.append((turn, role[:1], kind, "duplicate" if copy and state != "blank" else state))
@@ -319,13 +319,13 @@ SUMMARY = "gaps long, blank long, duplicate long, truncated long, illegal long,
 REPAIRED = "position long, turn long, role string, text string, edit string"
 
 
-def _streamed(turns: DataFrame, keys: DataFrame, rows: bool) -> DataFrame:
+def _streamed(turns: DataFrame, keys: DataFrame, rows: bool, segment: int) -> DataFrame:
     """Every conversation's mark, segments and turns, in order, through ``Conversation``."""
     workers.importable(turns.sparkSession)
     blank = [F.lit(None).cast(k).alias(c) for c, k in SEGMENT_KINDS]
     bare = [F.lit(None).cast(k).alias(c) for c, k in (("turn", "long"), ("role", "string"), ("text", "string"), ("digest", "binary"))]
     marks = keys.distinct().select("key", F.lit(0).alias("kind"), *blank, *bare)
-    found = segments(turns).select("key", F.lit(1).alias("kind"), *[c for c, _ in SEGMENT_KINDS], *bare)
+    found = segments(turns, segment).select("key", F.lit(1).alias("kind"), *[c for c, _ in SEGMENT_KINDS], *bare)
     texts = turns.select("key", F.lit(2).alias("kind"), *blank, "turn", "role", "text", F.unhex(F.sha2("text", 256)).alias("digest"))
     order = ["key", "kind", "part", "seq", "turn", "role", "digest"]
     all_rows = marks.unionByName(found).unionByName(texts).repartition("key").sortWithinPartitions(*order)
@@ -387,7 +387,9 @@ def _named(turns: DataFrame, key: str, turn: str, role: str, text: str) -> DataF
     )
 
 
-def summaries(turns: DataFrame, keys: DataFrame | None = None, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def summaries(
+    turns: DataFrame, keys: DataFrame | None = None, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment: int = SEGMENT
+) -> DataFrame:
     """One row per conversation: ``key``, counts of faults, cost and letters of its edits, digest of the repaired turns.
 
     Turns are taken in order of ``turn`` (nulls first), then role, then the text's SHA-256;
@@ -396,10 +398,10 @@ def summaries(turns: DataFrame, keys: DataFrame | None = None, key: str = "conv_
     no edits, the digest of the empty text.  Other columns are not read.
     """
     rows = _named(turns, key, turn, role, text)
-    return _streamed(rows, rows.select("key") if keys is None else keys.select(keys[key].alias("key")), rows=False)
+    return _streamed(rows, rows.select("key") if keys is None else keys.select(keys[key].alias("key")), rows=False, segment=segment)
 
 
-def repaired(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def repaired(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment: int = SEGMENT) -> DataFrame:
     """The repaired turns: ``key, position`` from 1, ``turn`` (null where inserted), ``role, text, edit``; order and nulls as for ``summaries``."""
     rows = _named(turns, key, turn, role, text)
-    return _streamed(rows, rows.select("key"), rows=True)
+    return _streamed(rows, rows.select("key"), rows=True, segment=segment)

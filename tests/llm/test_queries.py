@@ -17,6 +17,9 @@ COLUMNS = {
     "op8": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op9": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op11": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op12": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op13": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 
 
@@ -29,9 +32,11 @@ def test_columns_and_rows(spark, name):
         assert kinds[c] == kind, c
     rows = df.collect()
     table = {"op1": "pages", "op7": "pages"}.get(name.split("_")[0], "documents")
-    if name.startswith("op4"):
+    if name.startswith(("op4", "op12")):
         assert len(rows) > 0
-    elif name.startswith("op10"):
+    elif name.startswith("op13"):
+        assert len(rows) == spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id").distinct().count()
+    elif name.startswith(("op10", "op11")):
         assert {r.doc_id for r in rows} == {r.doc_id for r in spark.read.parquet(f"{FOLDER}/{table}.parquet").select("doc_id").collect()}
     else:
         assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
