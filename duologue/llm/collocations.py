@@ -36,10 +36,9 @@ FLUSH_WORDS = 1 << 22
 CHUNK_BYTES = 1 << 20
 OUT_ROWS = 1 << 16
 
-#: Windows of one first word go to so many tasks, by their second word.
-BUCKETS = 16
-#: Two first words that have this share of a sample's windows go to ``SALTS`` tasks, by the last
-#: word.  The sample steers the layout only; the counts cover all rows.
+#: Windows of one first word go to one task; those of a first word with this share of a sample's
+#: windows to ``SALTS`` tasks by the second word, and those of two such words by the last one.
+#: The sample steers the layout only; the counts cover all rows.
 HOT_SHARE = 500
 SALTS = 64
 SAMPLE = 0.01
@@ -68,7 +67,7 @@ class Windows:
     Words are numbered per flush; the numbers of a window fit one 64-bit key.
     """
 
-    def __init__(self, order: int, hot: dict[str, list[tuple[bytes, bytes]]]) -> None:
+    def __init__(self, order: int, hot: dict[str, list[tuple[bytes, ...]]]) -> None:
         self.order, self.hot = order, hot
         self.bits = 63 // order
         self.chunk = min(CHUNK_BYTES, 1 << (self.bits - 1))
@@ -86,65 +85,72 @@ class Windows:
                 yield from self.flush(lang)
             words = part.split()
             self.held += len(words)
-            self.ids.setdefault(lang, []).append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+            self.ids.setdefault(lang, []).append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         if lang in self.ids:
-            self.ids[lang].append(np.zeros(1, np.int64))
+            self.ids[lang].append(np.zeros(1, np.int32))
 
     def flush(self, unfinished: str | None = None) -> Iterator[pa.RecordBatch]:
         """Counted windows of all words held; the last words of an unfinished text stay for the next flush."""
         words = list(self.numbers)
         words[0] = b""  # the pad, first in order
-        rank = np.empty(len(words), np.int64)
-        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-        ordered = sorted(words)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        ordered = [words[i] for i in order]
         texts = pa.array(ordered, pa.binary()).cast(pa.string())
         hashes = np.fromiter(map(crc32, ordered), np.int64, len(ordered))
         held, self.ids = self.ids, {}
         for lang, parts in held.items():
             ids = np.concatenate(parts)
             tail = ids[max(0, len(ids) - self.order + 1) :] if lang == unfinished else ids[:0]
-            pairs = [(rank[self.numbers[x]], rank[self.numbers[y]]) for x, y in self.hot.get(lang, []) if x in self.numbers and y in self.numbers]
-            yield from self.counted(lang, rank[ids], len(ids) - len(tail), texts, hashes, [x << self.bits | y for x, y in pairs])
+            hot = [[int(rank[self.numbers[w]]) for w in lead] for lead in self.hot.get(lang, []) if all(w in self.numbers for w in lead)]
+            yield from self.counted(lang, rank[ids], len(ids) - len(tail), texts, hashes, hot)
             held[lang] = [tail]
         self.restart()
         if unfinished in held and len(held[unfinished][0]):
             kept = [words[i] or b"." for i in held[unfinished][0].tolist()]
-            self.ids[unfinished] = [np.array([self.numbers[w] for w in kept], np.int64)]
+            self.ids[unfinished] = [np.array([self.numbers[w] for w in kept], np.int32)]
 
-    def counted(self, lang: str, ids: np.ndarray, starts: int, texts: pa.Array, hashes: np.ndarray, hot: list[int]) -> Iterator[pa.RecordBatch]:
+    def counted(self, lang: str, ids: np.ndarray, starts: int, texts: pa.Array, hashes: np.ndarray, hot: list[list[int]]) -> Iterator[pa.RecordBatch]:
         """Windows that begin at the first ``starts`` words: lead columns, counted."""
-        padded = np.concatenate([ids, np.zeros(self.order, np.int64)])
+        padded = np.concatenate([ids, np.zeros(self.order, np.int32)])
         column = padded[:starts]
-        key, alive = column.copy(), column > 0
+        key = column.astype(np.int64)
         for lead in range(1, self.order):
             column = np.where(column > 0, padded[lead : lead + starts], 0)
-            key = key << self.bits | column
-        found, counts = np.unique(key[alive], return_counts=True)
+            key <<= self.bits
+            key |= column
+        key = key[padded[:starts] > 0]
+        del padded, column
+        key.sort()
+        at = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+        found, counts = key[at], np.diff(at, append=len(key))
+        del key, at
+        firsts, pairs = [x for x, *y in hot if not y], [x << self.bits | y[0] for x, *y in hot if y]
         mask = (1 << self.bits) - 1
         for at in range(0, len(found), OUT_ROWS):
             some = found[at : at + OUT_ROWS]
             columns = [some >> self.bits * (self.order - 1 - j) & mask for j in range(self.order)]
-            salt = hashes[columns[1]] % BUCKETS
-            if hot:
-                spread = np.isin(some >> self.bits * (self.order - 2), hot)
-                salt = np.where(spread, BUCKETS + hashes[columns[-1]] % SALTS, salt)
+            salt = np.where(np.isin(columns[0], firsts), 1 + hashes[columns[1]] % SALTS, 0)
+            if pairs:
+                salt = np.where(np.isin(some >> self.bits * (self.order - 2), pairs), 1 + SALTS + hashes[columns[-1]] % SALTS, salt)
             words = [texts.take(pa.array(c)) for c in columns]
             rest = pc.utf8_rtrim(pc.binary_join_element_wise(*words[1:], " "), " ")
             values = [pa.array([lang] * len(some), pa.string()), words[0], pa.array(salt, pa.int32()), rest, pa.array(counts[at : at + OUT_ROWS])]
             yield pa.RecordBatch.from_arrays(values, ["lang", "first", "salt", "rest", "c"])
 
 
-def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS, hot: list[tuple[str, str, str]] = ()) -> DataFrame:
+def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS, hot: list[tuple[str, ...]] = ()) -> DataFrame:
     """Windows as ``lang, first, salt, rest`` (the leads, pads left out) with partial counts ``c``; equal windows may come in several rows.
 
-    ``hot`` lists languages and first two words of windows to be spread by their last word;
-    ``salt`` is the same wherever a window occurs.
+    ``hot`` lists languages with one or two first words of windows to be spread by the second
+    or the last word; ``salt`` is the same wherever a window occurs.
     """
     workers.importable(docs.sparkSession)
     rows = docs.select(F.coalesce(docs[lang].cast("string"), F.lit(UNKNOWN)).alias("lang"), docs[text].cast("string").alias("text"))
-    spread: dict[str, list[tuple[bytes, bytes]]] = {}
-    for name, x, y in hot:
-        spread.setdefault(name, []).append((x.encode(), y.encode()))
+    spread: dict[str, list[tuple[bytes, ...]]] = {}
+    for name, *lead in hot:
+        spread.setdefault(name, []).append(tuple(w.encode() for w in lead))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(order, spread)
@@ -159,13 +165,14 @@ def lead_windows(docs: DataFrame, lang: str = "lang", text: str = "text", order:
     return rows.mapInArrow(each, "lang string, first string, salt int, rest string, c long")
 
 
-def hot_leads(sample: DataFrame) -> list[tuple[str, str, str]]:
-    """Languages and first two words that ``HOT_SHARE`` or more of a sample's windows begin with; ``HOT_SHARE`` of them at most."""
+def hot_leads(sample: DataFrame) -> list[tuple[str, ...]]:
+    """Languages with first words, and first two words, of ``HOT_SHARE`` or more of a sample's windows; ``HOT_SHARE`` of either at most."""
     lead = ["lang", "first", F.substring_index("rest", " ", 1).alias("second")]
-    counts = workers.stored(sample.groupBy(*lead).agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.where((F.col("n") * HOT_SHARE >= total) & (F.col("n") >= SALTS) & (F.col("second") != ""))
-    return [tuple(r) for r in hot.select("lang", "first", "second").collect()]
+    pairs = workers.stored(sample.groupBy(*lead).agg(F.count("*").alias("n")))
+    total = pairs.agg(F.sum("n")).first()[0] or 0
+    often = (F.col("n") * HOT_SHARE >= total) & (F.col("n") >= SALTS)
+    firsts = pairs.groupBy("lang", "first").agg(F.sum("n").alias("n")).where(often).select("lang", "first")
+    return [tuple(r) for r in firsts.collect() + pairs.where(often & (F.col("second") != "")).select("lang", "first", "second").collect()]
 
 
 def prefix_counts(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = MAX_WORDS, least: int = MIN_COUNT) -> DataFrame:
@@ -189,7 +196,7 @@ def prefix_counts(docs: DataFrame, lang: str = "lang", text: str = "text", order
     folded = counted.select(*group, F.explode(F.when(own, F.array(itself, others)).otherwise(F.array(others))).alias("x"))
     folded = folded.select(*group, "x.*").groupBy(*group, "rest").agg(F.sum("c").alias("c"), F.sum("whole").alias("whole"))
     # A lead below the least count loses its last word; spread ones are not whole here.
-    rare = (F.col("whole") > 0) & (F.col("whole") < least) & (F.col("salt") < BUCKETS) & (F.col("rest") != "")
+    rare = (F.col("whole") > 0) & (F.col("whole") < least) & (F.col("salt") <= SALTS) & (F.col("rest") != "")
     shorter = F.substring_index("rest", " ", order - 3) if order > 3 else F.lit("")
     small = folded.select("lang", "first", F.when(rare, shorter).otherwise(F.col("rest")).alias("rest"), "c")
     small = small.groupBy("lang", "first", "rest").agg(F.sum("c").alias("c"))

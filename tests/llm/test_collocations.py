@@ -61,7 +61,7 @@ def test_ties_and_limit(spark):
 def test_long_text_in_parts(spark, monkeypatch):
     docs = [("en", prose(1, 4000)), (None, prose(2, 50)), ("en", "z" * 5000 + " y"), ("de", prose(3, 900))]
     want = plain(docs, 3, 4)
-    windows = collocations.Windows(3, {"en": [(b"a", b"b")]})
+    windows = collocations.Windows(3, {"en": [(b"a",), (b"b", b"c"), (b"a", b"b")]})
     windows.chunk = 64
     monkeypatch.setattr(collocations, "FLUSH_WORDS", 37)
     monkeypatch.setattr(collocations, "OUT_ROWS", 7)
@@ -85,7 +85,7 @@ def test_long_text_in_parts(spark, monkeypatch):
 
 def test_spread_leads_change_nothing(spark, monkeypatch):
     docs = [("en", "the of " + prose(s, 3)) for s in range(40)] + [("en", prose(s, 60)) for s in range(4)]
-    monkeypatch.setattr(collocations, "hot_leads", lambda sample: [("en", "the", "of"), ("en", "a", "b")])
+    monkeypatch.setattr(collocations, "hot_leads", lambda sample: [("en", "the"), ("en", "the", "of"), ("en", "a", "b"), ("de", "b")])
     assert run(spark, docs, least=3) == plain(docs, 3, 3)
 
 
