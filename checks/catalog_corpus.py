@@ -204,7 +204,7 @@ def register(q) -> None:
     q(
         "budget_admission",
         lambda v: planning.budget_admission(
-            v.outcomes, v.corpus_progress.withColumn("generated_sec", c("generated_sec") / 4), v.ORDER, v.BLOCKS
+            v.outcomes, v.corpus_progress.withColumn("generated_sec", c("generated_sec") / 4), v.ORDER
         ).select(INSTANCE, "finish_key", "status", "total_sec"),
         """SELECT corpus_combination_id, finish_key, CASE WHEN total - duration_sec >= target_sec THEN 'not_reached' WHEN total <= target_sec + 120 THEN 'accepted' ELSE 'rejected' END AS status, total AS total_sec
            FROM (SELECT o.corpus_combination_id, finish_key, o.duration_sec, coalesce(p.target_sec, 0) AS target_sec,

@@ -53,7 +53,7 @@ def progress(v: Views) -> DataFrame:
 
 def guard(v: Views) -> DataFrame:
     place = workspace(v)
-    streams.failure_guard(v.as_outcomes(stream(v, "orders")), place, v.ORDER, v.BLOCKS[0]).awaitTermination()
+    streams.failure_guard(v.as_outcomes(stream(v, "orders")), place, v.ORDER).awaitTermination()
     return streams.latest_version(v.spark, f"{place}/runs", streams.RUNS).where("abandoned_at is not null").select(INSTANCE, "abandoned_at")
 
 

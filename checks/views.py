@@ -156,9 +156,7 @@ class Views:
         spoken = conversations.where(c("role") != "system").select(
             F.floor(c("conv_id") / 10).cast("bigint").alias("conv_id"), c("conv_id").alias("part"), "turn", "role", "text"
         )
-        placed = number_rows(
-            spoken.withColumn("_blk", F.floor(c("turn") / 1024)), ["conv_id"], ["turn"], ["part", "_blk"], "pos"
-        )
+        placed = number_rows(spoken, ["conv_id"], ["part", "turn"])
         h = (c("part") * 31 + c("turn")) % 10
         r = (c("part") + c("turn") * 3) % 11
         return placed.select(
@@ -363,7 +361,6 @@ class Views:
         )
 
     ORDER = ["finished_at", "finish_key"]
-    BLOCKS = ["finish_month"]
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -375,7 +372,7 @@ class Views:
 
     @cached_property
     def accepted_indexed(self) -> DataFrame:
-        return planning.number_conversations(self.accepted, self.ORDER, self.BLOCKS)
+        return planning.number_conversations(self.accepted, self.ORDER)
 
     @cached_property
     def progress(self) -> DataFrame:
@@ -387,7 +384,7 @@ class Views:
 
     @cached_property
     def runs(self) -> DataFrame:
-        return planning.failure_runs(self.outcomes, self.ORDER, self.BLOCKS)
+        return planning.failure_runs(self.outcomes, self.ORDER)
 
     @cached_property
     def skipped(self) -> DataFrame:

@@ -9,14 +9,7 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import lookup, round_half_up, strip
-from duologue.operators.ordered import (
-    BLOCK_ROWS,
-    block_of,
-    block_window,
-    number_rows,
-    running,
-    with_halo,
-)
+from duologue.operators.ordered import BLOCK_ROWS, join_parts, number_rows, part_window, running, with_halo, with_parts
 
 INSTANCE = "corpus_combination_id"
 MONEY = "decimal(28,3)"  # exact seconds, so that sums do not depend on their order
@@ -107,10 +100,10 @@ def progress_rollup(accepted: DataFrame) -> DataFrame:
 
 
 def number_conversations(
-    accepted: DataFrame, order: Sequence[str], blocks: Sequence[str], stored: DataFrame | None = None
+    accepted: DataFrame, order: Sequence[str], stored: DataFrame | None = None
 ) -> DataFrame:
     """1-based index per instance in acceptance order, after those already stored."""
-    numbered = number_rows(accepted, [INSTANCE], order, blocks, "index")
+    numbered = number_rows(accepted, [INSTANCE], order, name="index")
     if stored is None:
         return numbered
     offset = stored.select(INSTANCE, F.col("conversation_count").alias("_stored"))
@@ -222,19 +215,18 @@ def run_plan_summary(progress: DataFrame, skipped: DataFrame) -> DataFrame:
 
 
 # ---- order of work -----------------------------------------------------------
-def language_ordered(corpus: DataFrame, languages: Sequence[str] | None) -> DataFrame:
-    """Rows in the order of requested languages, corpus order inside; none -> corpus order."""
+def by_language(corpus: DataFrame, languages: Sequence[str] | None) -> DataFrame:
+    """Rows of the requested languages with the language's place among them (0 if none is requested)."""
     lang = F.lower("language")
     if not languages:
-        placed = corpus.withColumn("language_pos", F.lit(0))
-    else:
-        wanted = F.array(*[F.lit(x) for x in languages])
-        placed = corpus.where(lang.isin(list(languages))).withColumn(
-            "language_pos", F.array_position(wanted, lang).cast("int") - 1
-        )
-    blocked = placed.withColumn("_blk", block_of(F.col("row_pos")))
-    numbered = number_rows(blocked, [], ["row_pos"], ["language_pos", "_blk"], "order_no")
-    return numbered.drop("_blk")
+        return corpus.withColumn("language_pos", F.lit(0))
+    wanted = F.array(*[F.lit(x) for x in languages])
+    return corpus.where(lang.isin(list(languages))).withColumn("language_pos", F.array_position(wanted, lang).cast("int") - 1)
+
+
+def language_ordered(corpus: DataFrame, languages: Sequence[str] | None) -> DataFrame:
+    """Rows in the order of requested languages, corpus order inside; none -> corpus order."""
+    return number_rows(by_language(corpus, languages), [], ["language_pos", "row_pos"], name="order_no")
 
 
 def unsupported_languages(corpus: DataFrame, requested: DataFrame) -> DataFrame:
@@ -246,11 +238,9 @@ def unsupported_languages(corpus: DataFrame, requested: DataFrame) -> DataFrame:
 def processing_order(progress: DataFrame, skipped: DataFrame, languages: Sequence[str] | None = None) -> DataFrame:
     """Started instances first, then untouched ones; finished and skipped ones are out."""
     open_rows = not_skipped(progress, skipped).where(F.col("state").isin("incomplete", "not_started"))
-    ordered = language_ordered(open_rows, languages).drop("order_no")
-    ranked = ordered.withColumn("state_pos", F.when(F.col("state") == "incomplete", 0).otherwise(1)).withColumn(
-        "_blk", block_of(F.col("row_pos"))
-    )
-    return number_rows(ranked, [], ["row_pos"], ["state_pos", "language_pos", "_blk"], "order_no").drop("_blk")
+    ordered = by_language(open_rows, languages)
+    ranked = ordered.withColumn("state_pos", F.when(F.col("state") == "incomplete", 0).otherwise(1))
+    return number_rows(ranked, [], ["state_pos", "language_pos", "row_pos"], name="order_no")
 
 
 def dev_sample(
@@ -277,7 +267,7 @@ def dev_sample(
 
 # ---- acceptance --------------------------------------------------------------
 def budget_admission(
-    candidates: DataFrame, progress: DataFrame, order: Sequence[str], blocks: Sequence[str], overflow: float = fv.OVERFLOW_SEC
+    candidates: DataFrame, progress: DataFrame, order: Sequence[str], overflow: float = fv.OVERFLOW_SEC
 ) -> DataFrame:
     """Admit finished conversations in order until the target is met.
 
@@ -286,7 +276,7 @@ def budget_admission(
     instance; everything later is ``not_reached``.  Totals only grow, so a running
     sum decides each row on its own.
     """
-    summed = running(candidates, [INSTANCE], order, blocks, {"_upto": ("sum", F.col("duration_sec").cast(MONEY))})
+    summed = running(candidates, [INSTANCE], order, None, {"_upto": ("sum", F.col("duration_sec").cast(MONEY))})
     start = progress.select(INSTANCE, "target_sec", F.col("generated_sec").alias("_start"))
     total = F.coalesce("_start", F.lit(0.0)).cast(MONEY) + F.col("_upto")
     before = total - F.col("duration_sec").cast(MONEY)
@@ -304,27 +294,22 @@ def budget_admission(
     )
 
 
-def failure_runs(
-    outcomes: DataFrame,
-    order: Sequence[str],
-    blocks: Sequence[str],
-    open_runs: DataFrame | None = None,
-) -> DataFrame:
+def failure_runs(outcomes: DataFrame, order: Sequence[str], open_runs: DataFrame | None = None) -> DataFrame:
     """Length of the run of failures ending at every outcome (0 on acceptance).
 
-    One pass: rows are numbered inside ``(instance, block)``; one row per block carries
-    the count and the place of the latest acceptance forward.  ``open_runs``
-    (``open_failures``, ``attempts`` per instance) continues runs that an earlier batch
-    left open.
+    Rows are numbered inside their instance, or its part where the instance is split; one
+    row per part carries the count and the place of the latest acceptance forward.
+    ``open_runs`` (``open_failures``, ``attempts`` per instance) continues runs that an
+    earlier batch left open.
     """
-    upto = block_window([INSTANCE], blocks, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = outcomes.select("*", F.count(F.lit(1)).over(upto).alias("_n"))
+    upto = part_window([INSTANCE], order)
+    local = with_parts(outcomes, [INSTANCE], order).select("*", F.count(F.lit(1)).over(upto).alias("_n"))
     local = local.select("*", F.max(F.when(F.col("accepted"), F.col("_n"))).over(upto).alias("_near"))
-    ends = local.groupBy(INSTANCE, *blocks).agg(F.max("_n").alias("_rows"), F.max("_near").alias("_end"))
-    earlier = Window.partitionBy(INSTANCE).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    ends = local.where(F.col("_part").isNotNull()).groupBy(INSTANCE, "_part").agg(F.max("_n").alias("_rows"), F.max("_near").alias("_end"))
+    earlier = Window.partitionBy(INSTANCE).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     based = ends.withColumn("_base", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    entry = based.select(INSTANCE, *blocks, "_base", F.max(F.col("_base") + F.col("_end")).over(earlier).alias("_before"))
-    marked = local.join(entry, [INSTANCE, *blocks])
+    entry = based.select(INSTANCE, "_part", "_base", F.max(F.col("_base") + F.col("_end")).over(earlier).alias("_before"))
+    marked = join_parts(local, entry, [INSTANCE]).withColumn("_base", F.coalesce("_base", F.lit(0)))
     held, seen = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
     if open_runs is not None:
         kept = open_runs.select(INSTANCE, F.col("open_failures").alias("_open"), F.col("attempts").alias("_seen"))

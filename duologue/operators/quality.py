@@ -417,14 +417,10 @@ def validation_report(conversations: DataFrame, turns: DataFrame, issues: DataFr
 def ordered_issues(issues: DataFrame) -> DataFrame:
     """Errors before warnings, then by position; the rank is per conversation.
 
-    Blocks of ``(level, position)`` keep a conversation with very many issues parallel.
+    A conversation with very many issues is split by level and position.
     """
-    ranked = issues.withColumn("level_rank", F.when(F.col("level") == "ERROR", 0).otherwise(1)).withColumn(
-        "_blk", F.floor(F.col("pos") / 1024)
-    )
-    order = ["pos", "turn_id", "rule", "message"]
-    numbered = running(ranked, ["conv_id"], order, ["level_rank", "_blk"], {"issue_no": ("sum", F.lit(1).cast("bigint"))})
-    return numbered.drop("_blk")
+    ranked = issues.withColumn("level_rank", F.when(F.col("level") == "ERROR", 0).otherwise(1))
+    return number_rows(ranked, ["conv_id"], ["level_rank", "pos", "turn_id", "rule", "message"], name="issue_no")
 
 
 def turn_type_counts(turns: DataFrame) -> DataFrame:

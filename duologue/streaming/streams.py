@@ -134,17 +134,17 @@ RUNS = f"{INSTANCE} bigint, open_failures bigint, attempts bigint, abandoned_at
 
 
 def failure_guard(
-    outcomes: DataFrame, folder: str, order: list[str], block: str, limit: int = fv.MAX_CONSECUTIVE_FAILURES, **trigger
+    outcomes: DataFrame, folder: str, order: list[str], limit: int = fv.MAX_CONSECUTIVE_FAILURES, **trigger
 ) -> StreamingQuery:
     """Runs of failures across micro-batches; an instance is given up at ``limit``.
 
-    Inside a batch the run lengths come from the block-wise batch operator, so one
-    very busy instance does not end in one task; one row per instance is carried on.
+    Inside a batch the run lengths come from the batch operator, which splits a very busy
+    instance over tasks; one row per instance is carried on.
     """
 
     def advance(batch: DataFrame, number: int) -> None:
         base = _previous(batch.sparkSession, f"{folder}/runs", number, RUNS)
-        runs = planning.failure_runs(batch, order, [block], open_runs=base)
+        runs = planning.failure_runs(batch, order, open_runs=base)
         changed = runs.groupBy(INSTANCE).agg(
             F.max_by("consecutive_failures", "attempt_no").alias("_open"),
             F.max("attempt_no").alias("_attempts"),

@@ -76,10 +76,10 @@ def test_voice_reports_get_defaults(spark, tmp_path):
 def test_failure_runs_continue_over_batches(spark):
     rows = [(1, i, i // 4, i in (3, 9)) for i in range(16)]
     schema = "corpus_combination_id long, n long, block long, accepted boolean"
-    whole = planning.failure_runs(spark.createDataFrame(rows, schema), ["n"], ["block"])
+    whole = planning.failure_runs(spark.createDataFrame(rows, schema), ["n"])
     want = {r.n: r.consecutive_failures for r in whole.collect()}
     assert want[2] == 3 and want[3] == 0 and want[8] == 5 and want[15] == 6
-    first = planning.failure_runs(spark.createDataFrame(rows[:7], schema), ["n"], ["block"]).orderBy("n").collect()[-1]
+    first = planning.failure_runs(spark.createDataFrame(rows[:7], schema), ["n"]).orderBy("n").collect()[-1]
     left = spark.createDataFrame([(1, first.consecutive_failures, 7)], "corpus_combination_id long, open_failures long, attempts long")
-    rest = planning.failure_runs(spark.createDataFrame(rows[7:], schema), ["n"], ["block"], open_runs=left)
+    rest = planning.failure_runs(spark.createDataFrame(rows[7:], schema), ["n"], open_runs=left)
     assert {r.n: r.consecutive_failures for r in rest.collect()} == {k: v for k, v in want.items() if k >= 7}

@@ -57,9 +57,9 @@ def outcomes(spark, tmp_path_factory):
 
 
 def test_failure_guard(spark, outcomes, tmp_path):
-    streams.failure_guard(read(spark, ORDERS, outcomes), str(tmp_path), ["n"], "block").awaitTermination()
+    streams.failure_guard(read(spark, ORDERS, outcomes), str(tmp_path), ["n"]).awaitTermination()
     got = streams.latest_version(spark, f"{tmp_path}/runs", streams.RUNS).where("abandoned_at is not null")
-    runs = planning.failure_runs(spark.read.parquet(outcomes), ["n"], ["block"])
+    runs = planning.failure_runs(spark.read.parquet(outcomes), ["n"])
     want = planning.abandoned_instances(runs)
     assert {(r.corpus_combination_id, r.abandoned_at) for r in got.collect()} == {(r.corpus_combination_id, r.abandoned_at) for r in want.collect()}
     assert want.count() > 0
