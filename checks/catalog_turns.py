@@ -298,8 +298,13 @@ FAITHFUL_SQL = """,
     l AS (SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos) AS nth FROM lw),
     t AS (SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos) AS nth FROM tw),
     pairs AS (SELECT l.conv_id, l.pos AS line, t.pos AS turn, l.speaker <> t.speaker AS swapped FROM l JOIN t USING (conv_id, w, nth)),
-    near AS (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY line) AS p, lead(turn) OVER (PARTITION BY conv_id ORDER BY line) AS n FROM pairs),
-    placed AS (SELECT *, coalesce(p, -1) < coalesce(n, 4611686018427387904) AND (turn < coalesce(p, turn) OR turn > coalesce(n, turn)) AS moved FROM near),
+    chains AS (SELECT conv_id, line, turn, 1 AS n FROM pairs
+        UNION SELECT b.conv_id, b.line, b.turn, a.n + 1 FROM chains a JOIN pairs b ON b.conv_id = a.conv_id AND b.line > a.line AND b.turn > a.turn),
+    longest AS (SELECT conv_id, line, turn, max(n) AS n FROM chains GROUP BY ALL),
+    kept AS (SELECT * FROM (SELECT conv_id, line, turn, n FROM longest QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, line DESC) = 1)
+        UNION ALL SELECT conv_id, line, turn, n FROM (SELECT b.* FROM kept a JOIN longest b ON b.conv_id = a.conv_id AND b.n = a.n - 1 AND b.line < a.line AND b.turn < a.turn) AS earlier
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY line DESC) = 1),
+    placed AS (SELECT p.*, k.line IS NULL AS moved FROM pairs p LEFT JOIN kept k USING (conv_id, line)),
     lost AS (SELECT conv_id, pos, w, gap FROM (SELECT *, coalesce(max(mark) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gap FROM (
         SELECT conv_id, pos, w, CAST(NULL AS BIGINT) AS mark FROM l ANTI JOIN t USING (conv_id, w, nth) UNION ALL SELECT conv_id, line, NULL, turn FROM placed WHERE NOT moved)) WHERE mark IS NULL),
     new AS (SELECT conv_id, pos, w, gap FROM (SELECT *, coalesce(max(mark) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS gap FROM (
@@ -308,17 +313,17 @@ FAITHFUL_SQL = """,
     new_n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, gap ORDER BY pos) AS i FROM new)
     SELECT conv_id, line AS pos, CASE WHEN moved THEN 'reordered' ELSE 'speaker_swapped' END AS problem, CAST(NULL AS INTEGER) AS edit_distance FROM placed WHERE moved OR swapped
     UNION ALL SELECT coalesce(a.conv_id, b.conv_id), coalesce(a.pos, b.pos), CASE WHEN b.pos IS NULL THEN 'dropped' WHEN a.pos IS NULL THEN 'added' ELSE 'reworded' END,
-           CASE WHEN length(a.w) <= 4000 AND length(b.w) <= 4000 THEN CAST(levenshtein(a.w, b.w) AS INTEGER) END
+           CAST(levenshtein(a.w, b.w) AS INTEGER)
     FROM lost_n a FULL OUTER JOIN new_n b ON a.conv_id = b.conv_id AND a.gap = b.gap AND a.i = b.i"""
 WORDS = r"lower(regexp_replace(text, '[^\p{L}\p{N}\p{M}]+', '', 'g'))"
 
 
 def faithful_turns(v: Views):
-    """Turns that drop, swap, reword or move some lines of the transcript."""
+    """Turns that drop, swap, reword or move some lines of the transcript, alone and in blocks of two."""
     k = (c("conv_id") * 3 + c("pos")) % 17
     return v.turns_raw.where(k != 5).select(
         "conv_id",
-        F.when(k == 6, c("pos") + 5000).otherwise(c("pos")).alias("pos"),
+        F.when(k == 6, c("pos") + 5000).when(k.isin(10, 11), c("pos") + 3000).otherwise(c("pos")).alias("pos"),
         F.when(k == 7, F.when(c("speaker") == "speaker_1", "speaker_2").otherwise("speaker_1")).otherwise(c("speaker")).alias("speaker"),
         F.when(k == 8, cat(c("text"), " indeed")).otherwise(F.replace("text", F.lit(" "), F.lit(" , "))).alias("text"),
     )
@@ -414,8 +419,8 @@ def register(q) -> None:
     q(
         "faithfulness_check",
         lambda v: quality.faithfulness(v.turns_raw, faithful_turns(v)),
-        f"""WITH lw AS (SELECT conv_id, pos, speaker, {WORDS} AS w FROM turns_raw),
-            tw AS (SELECT conv_id, CASE WHEN k = 6 THEN pos + 5000 ELSE pos END AS pos, CASE WHEN k = 7 THEN CASE speaker WHEN 'speaker_1' THEN 'speaker_2' ELSE 'speaker_1' END ELSE speaker END AS speaker,
+        f"""WITH RECURSIVE lw AS (SELECT conv_id, pos, speaker, {WORDS} AS w FROM turns_raw),
+            tw AS (SELECT conv_id, CASE WHEN k = 6 THEN pos + 5000 WHEN k IN (10, 11) THEN pos + 3000 ELSE pos END AS pos, CASE WHEN k = 7 THEN CASE speaker WHEN 'speaker_1' THEN 'speaker_2' ELSE 'speaker_1' END ELSE speaker END AS speaker,
                           {WORDS.replace('text', "(CASE WHEN k = 8 THEN text || ' indeed' ELSE replace(text, ' ', ' , ') END)")} AS w
                    FROM (SELECT *, (conv_id * 3 + pos) % 17 AS k FROM turns_raw) WHERE k <> 5){FAITHFUL_SQL}""",
     )

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import round_half_up
-from duologue.operators.ordered import number_rows, running, with_halo
+from duologue.operators.ordered import number_rows, running
+from duologue.operators.sequences import edit_distance, moved_rows
 from duologue.operators.turns import relation_pairs
 from duologue.session import cut_lineage
 
@@ -506,18 +507,14 @@ def comparable(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\p{M}]+", ""))
 
 
-#: Longest wording, in characters, whose edit distance is measured; longer ones have none.
-DISTANCE_CHARS = 4000
-
-
 def faithfulness(lines: DataFrame, turns: DataFrame, block_rows: int = 4096) -> DataFrame:
     """Differences between transcript lines and turns ``(conv_id, pos, speaker, text)``.
 
     The n-th line of a wording belongs to the n-th turn of that wording, wherever it is:
-    ``speaker_swapped`` if the other speaker says it, ``reordered`` if its turn is not
-    between those of the lines before and after it while these are in order.  What is left
-    between the same two kept lines is paired in order: ``reworded``, with the edit
-    distance; without a partner a line is ``dropped``, a turn ``added``.
+    ``speaker_swapped`` if the other speaker says it, ``reordered`` if it is off the longest
+    run of lines whose turns ascend (``sequences.moved_rows`` tells which, of several).  What
+    is left between the same two kept lines is paired in order: ``reworded``, with the exact
+    edit distance; without a partner a line is ``dropped``, a turn ``added``.
     """
     c = F.col
     block = lambda name: F.floor(c(name) / block_rows).alias("_blk")
@@ -531,15 +528,8 @@ def faithfulness(lines: DataFrame, turns: DataFrame, block_rows: int = 4096) ->
     both = cut_lineage(left.join(right, ["conv_id", "words", "_nth"], "full_outer"))
     pairs = both.where("line is not null and turn is not null")
 
-    # Neighbours among the matched lines.
-    ranked = number_rows(pairs.select("conv_id", "line", "turn", block("line")), ["conv_id"], ["line"], ["_blk"], "pos").drop("_blk")
-    near = Window.partitionBy("conv_id", "_block").orderBy("pos")
-    around = with_halo(ranked, "pos", block_rows).select(
-        "conv_id", "line", "turn", "_own", F.lag("turn").over(near).alias("_p"), F.lead("turn").over(near).alias("_n")
-    )
-    between = F.coalesce(c("_p"), F.lit(-1)) < F.coalesce(c("_n"), F.lit((1 << 62)))
-    moved = between & ((c("turn") < F.coalesce("_p", "turn")) | (c("turn") > F.coalesce("_n", "turn")))
-    placed = cut_lineage(around.where("_own").select("conv_id", "line", "turn", moved.alias("moved")))
+    moved = moved_rows(pairs.select("conv_id", "line", "turn"), "conv_id", "line", "turn").withColumn("moved", F.lit(True))
+    placed = cut_lineage(pairs.select("conv_id", "line", "turn").join(moved, ["conv_id", "line"], "left").withColumn("moved", F.coalesce("moved", F.lit(False))))
     speakers = pairs.select("conv_id", "line", (c("line_speaker") != c("turn_speaker")).alias("swapped"))
     problem = F.when(c("moved"), "reordered").when(c("swapped"), "speaker_swapped")
     matched = placed.join(speakers, ["conv_id", "line"]).select("conv_id", c("line").alias("pos"), problem.alias("problem"), F.lit(None).cast("int").alias("edit_distance"))
@@ -558,12 +548,11 @@ def faithfulness(lines: DataFrame, turns: DataFrame, block_rows: int = 4096) ->
 
     lost, new = leftovers("line"), leftovers("turn").withColumnsRenamed({"pos": "turn_pos", "words": "turn_words"})
     rest = lost.join(new, ["conv_id", "gap", "nth"], "full_outer")
-    short = (F.length("words") <= DISTANCE_CHARS) & (F.length("turn_words") <= DISTANCE_CHARS)
     kind = F.when(c("turn_pos").isNull(), "dropped").when(c("pos").isNull(), "added").otherwise("reworded")
     unmatched = rest.select(
         "conv_id",
         F.coalesce("pos", "turn_pos").alias("pos"),
         kind.alias("problem"),
-        F.when(short, F.levenshtein("words", "turn_words")).alias("edit_distance"),
+        F.when(c("words").isNotNull() & c("turn_words").isNotNull(), edit_distance(c("words"), c("turn_words"))).alias("edit_distance"),
     )
     return matched.where("problem is not null").unionByName(unmatched)

@@ -45,6 +45,9 @@ def test_faithfulness_follows_wording(spark, block):
     assert found(["alpha", "beta", "gamma"], ["alpha", "gamma"]) == [(2, "dropped", None)]
     assert found(["alpha", "gamma"], ["alpha", "beta", "gamma"]) == [(2, "added", None)]
     assert found(["a", "b", "c", "d"], ["a", "c", "d", "b"]) == [(2, "reordered", None)]
+    told = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    assert found(["alpha", "delta", "eps", "beta", "gamma", "zeta"], told) == [(2, "reordered", None), (3, "reordered", None)]
+    assert found(["a" * 5000 + "b"], ["a" * 4990 + "c"]) == [(1, "reworded", 11)]
     assert found(["a", "b", "c"], ["a", "bx", "c"]) == [(2, "reworded", 1)]
     assert found(["a", "a", "a"], ["a", "a"]) == [(3, "dropped", None)]
     assert found(["Hi there!"], ["hi, there"]) == []
