@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.views import Views, cat, text_of
@@ -12,6 +15,8 @@ from duologue.functions import fixed_values as fv
 from duologue.operators import planning
 from duologue.operators.planning import INSTANCE
 from duologue.plans import publish
+from duologue.plans.registry import DeltaLog
+from duologue.session import checkpoint_root
 from duologue.sources import dialogue as sources
 
 c = F.col
@@ -57,6 +62,37 @@ ORDERED_SQL = """SELECT *, row_number() OVER (ORDER BY language_pos, row_pos) AS
     SELECT *, CASE lower(language) WHEN 'english' THEN 0 WHEN 'hindi' THEN 1 END AS language_pos FROM {0} WHERE lower(language) IN ('english', 'hindi'))"""
 
 
+def in_log(v: Views, schema: str, key: str, *batches: DataFrame) -> DataFrame:
+    """A stored registry that got its rows in several batches, read again."""
+    log = DeltaLog(f"{checkpoint_root(v.spark)}/registry-{uuid.uuid4().hex}", schema, (key,), fanout=2)
+    for number, rows in enumerate(batches):
+        log.write(rows, number)
+    return log.read(v.spark)
+
+
+def stored_registry(v: Views) -> DataFrame:
+    """Progress documents of three batches: early figures of all instances, then the rest of two thirds and of one."""
+    schema = "target_sec: double, generated_sec: double, conversation_count: bigint"
+    rows = publish.registry_rows(registry_document(v), schema)
+    early = rows.withColumn("generated_sec", F.when(c("registry_key") % 3 == 0, c("generated_sec")).otherwise(0.0))
+    return in_log(v, "registry_key bigint, " + schema.replace(":", ""), "registry_key", early, rows.where("registry_key % 3 = 1"), rows.where("registry_key % 3 = 2"))
+
+
+def stored_skips(v: Views) -> DataFrame:
+    """Skipped instances of three batches; the second corrects the first."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in v.skipped.dtypes)
+    third = c(INSTANCE) % 3
+    return in_log(v, schema, INSTANCE, v.skipped.where(third < 2).withColumn("reason", F.lit(None)), v.skipped.where(third < 2), v.skipped.where(third == 2))
+
+
+def upserted(v: Views) -> DataFrame:
+    """Changed entries of a second batch take the place of the first one's."""
+    done = v.corpus_progress.where("state in ('complete', 'not_started')")
+    changed = done.select(INSTANCE, (c("generated_sec") + 1).alias("generated_sec"), (c("conversation_count") + 1).alias("conversation_count"), F.lit("2024-01-01T00:00:00").alias("updated_at"))
+    schema = f"{INSTANCE} bigint, generated_sec double, conversation_count bigint, updated_at string"
+    return in_log(v, schema, INSTANCE, v.progress.withColumn("updated_at", F.lit("old")), changed)
+
+
 def register(q) -> None:
     q(
         "scan_corpus",
@@ -67,10 +103,10 @@ def register(q) -> None:
     )
     q(
         "scan_progress",
-        lambda v: publish.registry_rows(registry_document(v), "target_sec: double, generated_sec: double, conversation_count: bigint"),
+        stored_registry,
         "SELECT corpus_combination_id AS registry_key, target_sec, generated_sec, conversation_count FROM corpus_progress WHERE state <> 'not_started'",
     )
-    q("scan_skipped", lambda v: v.skipped, "SELECT corpus_combination_id, consecutive_failures, reason, generated_sec, target_sec, conversation_count, language, gender_pair, abandoned_at FROM skipped")
+    q("scan_skipped", stored_skips, "SELECT corpus_combination_id, consecutive_failures, reason, generated_sec, target_sec, conversation_count, language, gender_pair, abandoned_at FROM skipped")
     q(
         "profile_projection",
         lambda v: v.corpus.select(INSTANCE, F.explode(planning.profile_map(["language", "agent_emotion", "user_emotion", "agent_accent", "user_accent", "gender_pair"])).alias("name", "value")),
@@ -257,11 +293,7 @@ def register(q) -> None:
       "SELECT corpus_combination_id, consecutive_failures, reason, generated_sec, target_sec, conversation_count, language, gender_pair FROM skipped")
     q(
         "registry_upsert",
-        lambda v: planning.registry_upsert(
-            v.progress.withColumn("updated_at", F.lit("old")),
-            v.corpus_progress.where("state in ('complete', 'not_started')").select(INSTANCE, (c("generated_sec") + 1).alias("generated_sec"), (c("conversation_count") + 1).alias("conversation_count")),
-            stamp=F.lit("2024-01-01T00:00:00"),
-        ),
+        upserted,
         """SELECT coalesce(n.corpus_combination_id, p.corpus_combination_id) AS corpus_combination_id, coalesce(n.generated_sec + 1, p.generated_sec) AS generated_sec,
                   coalesce(n.conversation_count + 1, p.conversation_count) AS conversation_count, CASE WHEN n.corpus_combination_id IS NOT NULL THEN '2024-01-01T00:00:00' ELSE 'old' END AS updated_at
            FROM progress p FULL OUTER JOIN (SELECT * FROM corpus_progress WHERE state IN ('complete', 'not_started')) n ON n.corpus_combination_id = p.corpus_combination_id""",

@@ -15,12 +15,6 @@ from duologue.streaming import streams
 c = F.col
 
 
-def stream(v: Views, name: str) -> DataFrame:
-    """A table as a file stream; the glob keeps the other tables of the folder out."""
-    schema = v.table(name).schema
-    return v.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(v.folder)
-
-
 def in_batches(v: Views, rows: DataFrame, *by: str) -> DataFrame:
     """All rows as a stream of three micro-batches."""
     place = f"{workspace(v)}/input"
@@ -28,6 +22,15 @@ def in_batches(v: Views, rows: DataFrame, *by: str) -> DataFrame:
     return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(place)
 
 
+def in_order(v: Views, rows: DataFrame, *order: str) -> DataFrame:
+    """All rows as a stream of at least three micro-batches, earlier rows first."""
+    place = f"{workspace(v)}/input"
+    parted = rows.repartitionByRange(3, *order).withColumn("part", F.spark_partition_id())
+    for part in range(3):  # files are taken by age
+        parted.where(c("part") == part).drop("part").coalesce(1).write.mode("append").parquet(place)
+    return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(place)
+
+
 def workspace(v: Views) -> str:
     return f"{checkpoint_root(v.spark)}/{uuid.uuid4().hex}"
 
@@ -41,20 +44,19 @@ def best(v: Views) -> DataFrame:
 def seen(v: Views) -> DataFrame:
     place = workspace(v)
     streams.heartbeat(v.as_clips(in_batches(v, v.table("events"))), place).awaitTermination()
-    beats = v.spark.read.parquet(f"{place}/heartbeat")
-    return beats.orderBy(c("batch").desc()).limit(1).select("clips_processed", "speakers_seen", "speakers_qualified")
+    return streams.heartbeats(v.spark, place).orderBy(c("batch").desc()).limit(1).select("clips_processed", "speakers_seen", "speakers_qualified")
 
 
 def progress(v: Views) -> DataFrame:
     place = workspace(v)
     streams.progress(v.as_outcomes(in_batches(v, v.table("orders"))).where("accepted"), place).awaitTermination()
-    return streams.latest_version(v.spark, f"{place}/progress", streams.PROGRESS)
+    return streams.stored_progress(v.spark, place)
 
 
 def guard(v: Views) -> DataFrame:
     place = workspace(v)
-    streams.failure_guard(v.as_outcomes(stream(v, "orders")), place, v.ORDER).awaitTermination()
-    return streams.latest_version(v.spark, f"{place}/runs", streams.RUNS).where("abandoned_at is not null").select(INSTANCE, "abandoned_at")
+    streams.failure_guard(v.as_outcomes(in_order(v, v.table("orders"), "o_orderdate", "o_orderkey")), place, v.ORDER).awaitTermination()
+    return streams.runs_log(place).read(v.spark).where("abandoned_at is not null").select(INSTANCE, "abandoned_at")
 
 
 def validated(v: Views) -> DataFrame:

@@ -348,14 +348,6 @@ def skip_entries(abandoned: DataFrame, progress: DataFrame, limit: int = fv.MAX_
     )
 
 
-def registry_upsert(stored: DataFrame, changed: DataFrame, key: str = INSTANCE, stamp: Column | None = None) -> DataFrame:
-    """Stored entries with changed ones in their place."""
-    columns = [c for c in stored.columns if c not in (key, "updated_at")]
-    new = changed.select(key, F.struct(*columns, (stamp if stamp is not None else F.current_timestamp()).alias("updated_at")).alias("_new"))
-    old = stored.select(key, F.struct(*columns, "updated_at").alias("_old"))
-    return old.join(new, key, "full_outer").select(key, F.coalesce("_new", "_old").alias("_e")).select(key, "_e.*")
-
-
 def select_attempts(attempts: DataFrame) -> DataFrame:
     """Which content and format attempt of a conversation counts, and does it pass?
 

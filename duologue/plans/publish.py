@@ -154,29 +154,6 @@ def write_conversations(payloads: DataFrame, folder: str, buckets: int = 64) ->
     payloads.repartition("language", bucket).write.mode("append").partitionBy("language").json(folder)
 
 
-def write_registry(entries: DataFrame, folder: str, version: int) -> str:
-    """Write a new version of a keyed table, then point ``_current`` at it.
-
-    Readers follow the pointer, so a lost executor or driver leaves the previous
-    version in force.
-    """
-    version = int(version)
-    place = f"{folder}/v={version}"
-    entries.write.mode("overwrite").parquet(place)
-    pointer = entries.sparkSession.createDataFrame([(version,)], "version bigint")
-    pointer.coalesce(1).write.mode("append").json(f"{folder}/_current_log")
-    return place
-
-
-def read_registry(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Latest version of a keyed table; an empty table when there is none yet."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_current_log")
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    latest = spark.read.schema("version bigint").json(f"{folder}/_current_log").agg(F.max("version")).first()[0]
-    return spark.read.schema(schema).parquet(f"{folder}/v={latest}")
-
-
 def registry_rows(document: DataFrame, entry_schema: str, column: str = "value") -> DataFrame:
     """A ``{"instances": {id: entry}}`` document as one row per entry."""
     parsed = F.from_json(F.col(column), f"updated_at string, instances map<string, struct<{entry_schema}>>")

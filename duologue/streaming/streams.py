@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from duologue.functions import fixed_values as fv
 from duologue.operators import planning, quality, voice
 from duologue.operators.planning import INSTANCE
+from duologue.plans.registry import DeltaLog
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -78,104 +80,158 @@ def latest_winners(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def heartbeat(clips: DataFrame, folder: str, **trigger) -> StreamingQuery:
-    """One row per micro-batch: clips processed, speakers seen, speakers that qualify."""
-    _use_rocksdb(clips.sparkSession)
+SPEAKERS = "speaker_id string, qualified boolean"
+
+
+def heartbeat(clips: DataFrame, folder: str, minimum: float = fv.CLIP_MIN_SEC, **trigger) -> StreamingQuery:
+    """One row per micro-batch: its clips, speakers first seen in it, speakers first qualified in it.
+
+    A batch stores the speakers it changes; ``heartbeats`` sums the rows along the log.
+    """
+    known = DeltaLog(f"{folder}/speakers", SPEAKERS, ("speaker_id",))
 
     def publish(batch: DataFrame, number: int) -> None:
-        batch.agg(
-            F.coalesce(F.sum("clips_seen"), F.lit(0)).alias("clips_processed"),
-            F.count("*").alias("speakers_seen"),
-            F.count("first_qualifying_index").alias("speakers_qualified"),
+        spark = batch.sparkSession
+        came = batch.groupBy("speaker_id").agg(
+            F.count("*").alias("clips"), F.max(F.coalesce(F.col("duration_seconds") >= minimum, F.lit(False))).alias("_fit")
+        )
+        before = known.read(spark, number).select(F.col("speaker_id").alias("_speaker"), F.col("qualified").alias("_before"))
+        changes = came.join(before, F.col("speaker_id").eqNullSafe(F.col("_speaker")) & F.col("_before").isNotNull(), "left").select(
+            "speaker_id",
+            "clips",
+            F.col("_before").isNull().alias("first_seen"),
+            (F.col("_fit") & ~F.coalesce("_before", F.lit(False))).alias("first_qualified"),
+            (F.col("_fit") | F.coalesce("_before", F.lit(False))).alias("qualified"),
+        )
+        changes.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
+        stored = spark.read.schema(changes.schema).parquet(f"{folder}/changes/batch={number}")
+        stored.agg(
+            F.coalesce(F.sum("clips"), F.lit(0)).alias("clips"),
+            F.count_if("first_seen").alias("seen"),
+            F.count_if("first_qualified").alias("qualified"),
         ).write.mode("overwrite").parquet(f"{folder}/heartbeat/batch={number}")
+        known.write(stored.where("first_seen or first_qualified"), number)
 
-    return _start(speaker_state(clips), folder, publish, "complete", trigger)
+    return _start(clips, folder, publish, trigger=trigger)
 
 
-def _previous(spark: SparkSession, folder: str, number: int, schema: str) -> DataFrame:
-    """State a batch starts from: what the one before it left behind."""
-    if number == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/v={number - 1}")
+def heartbeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after each micro-batch; one small row per batch is summed."""
+    beats = spark.read.parquet(f"{folder}/heartbeat")
+    upto = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = {"clips_processed": "clips", "speakers_seen": "seen", "speakers_qualified": "qualified"}
+    return beats.select("batch", *[F.sum(c).over(upto).alias(name) for name, c in totals.items()])
+
+
+PROGRESS = f"{INSTANCE} bigint, generated_sec {planning.MONEY}, conversation_count bigint"
 
 
-PROGRESS = f"{INSTANCE} bigint, generated_sec double, conversation_count bigint"
+def progress_log(folder: str) -> DeltaLog:
+    return DeltaLog(f"{folder}/progress", PROGRESS, (INSTANCE,), ("generated_sec", "conversation_count"))
 
 
 def progress(accepted: DataFrame, folder: str, **trigger) -> StreamingQuery:
-    """Store accepted conversations, then advance progress.
+    """Store accepted conversations, then what they add to their instances' progress.
 
-    A batch writes its conversations and then version ``N`` of the registry from
-    version ``N - 1``; running the same batch again overwrites both with equal content.
+    A batch reads no earlier progress; running it again overwrites its rows with equal ones.
     """
+    log = progress_log(folder)
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         data = f"{folder}/conversations/batch={number}"
         batch.write.mode("overwrite").parquet(data)
-        stored = spark.read.schema(batch.schema).parquet(data)
-        added = planning.progress_rollup(stored)
-        base = _previous(spark, f"{folder}/progress", number, PROGRESS)
-        base.unionByName(added.select(base.columns)).groupBy(INSTANCE).agg(
-            F.sum(F.col("generated_sec").cast(planning.MONEY)).cast("double").alias("generated_sec"),
-            F.sum("conversation_count").alias("conversation_count"),
-        ).write.mode("overwrite").parquet(f"{folder}/progress/v={number}")
+        log.write(planning.progress_rollup(batch.sparkSession.read.schema(batch.schema).parquet(data)), number)
 
     return _start(accepted, folder, merge, trigger=trigger)
 
 
-def latest_version(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    versions = spark.read.parquet(folder)
-    last = versions.agg(F.max("v")).first()[0]
-    return spark.read.schema(schema).parquet(f"{folder}/v={last}")
+def stored_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Progress of all batches so far."""
+    return progress_log(folder).read(spark).withColumn("generated_sec", F.col("generated_sec").cast("double"))
 
 
 RUNS = f"{INSTANCE} bigint, open_failures bigint, attempts bigint, abandoned_at bigint"
 
 
+def runs_log(folder: str) -> DeltaLog:
+    return DeltaLog(f"{folder}/runs", RUNS, (INSTANCE,))
+
+
 def failure_guard(
     outcomes: DataFrame, folder: str, order: list[str], limit: int = fv.MAX_CONSECUTIVE_FAILURES, **trigger
 ) -> StreamingQuery:
     """Runs of failures across micro-batches; an instance is given up at ``limit``.
 
     Inside a batch the run lengths come from the batch operator, which splits a very busy
-    instance over tasks; one row per instance is carried on.
+    instance over tasks.  A batch stores a row for each instance it changes.
     """
+    log = runs_log(folder)
 
     def advance(batch: DataFrame, number: int) -> None:
-        base = _previous(batch.sparkSession, f"{folder}/runs", number, RUNS)
+        base = log.read(batch.sparkSession, number).join(batch.select(INSTANCE).distinct(), INSTANCE, "left_semi")
         runs = planning.failure_runs(batch, order, open_runs=base)
         changed = runs.groupBy(INSTANCE).agg(
-            F.max_by("consecutive_failures", "attempt_no").alias("_open"),
-            F.max("attempt_no").alias("_attempts"),
+            F.max_by("consecutive_failures", "attempt_no").alias("open_failures"),
+            F.max("attempt_no").alias("attempts"),
             F.min(F.when(F.col("consecutive_failures") == limit, F.col("attempt_no"))).alias("_hit"),
         )
-        base.join(changed, INSTANCE, "full_outer").select(
-            INSTANCE,
-            F.coalesce("_open", "open_failures").alias("open_failures"),
-            F.coalesce("_attempts", "attempts").alias("attempts"),
-            F.coalesce("abandoned_at", "_hit").alias("abandoned_at"),
-        ).write.mode("overwrite").parquet(f"{folder}/runs/v={number}")
+        log.write(
+            changed.join(base.select(INSTANCE, "abandoned_at"), INSTANCE, "left").withColumn("abandoned_at", F.coalesce("abandoned_at", "_hit")), number
+        )
 
     return _start(outcomes, folder, advance, trigger=trigger)
 
 
-def validate(turns: DataFrame, folder: str, minimum: int = 2, **trigger) -> StreamingQuery:
+#: Buckets that turns of open conversations are kept in.
+BUCKETS = 64
+VERSIONS = "bucket int, version bigint"
+
+
+def bucket_log(folder: str) -> DeltaLog:
+    """Per bucket the batch that wrote it last."""
+    return DeltaLog(f"{folder}/buckets", VERSIONS, ("bucket",))
+
+
+def open_turns(spark: SparkSession, folder: str, batches: int, schema: str | T.StructType, buckets: list[int] | None = None) -> DataFrame:
+    """Turns of conversations that are open after ``batches`` batches, of the given buckets only."""
+    found = bucket_log(folder).read(spark, batches)
+    places = [f"{folder}/open/v={r.version}/bucket={r.bucket}" for r in found.where("version is not null").collect() if buckets is None or r.bucket in buckets]
+    if not places:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*places)
+
+
+def validate(turns: DataFrame, folder: str, minimum: int = 2, closes: str | None = None, buckets: int = BUCKETS, **trigger) -> StreamingQuery:
     """Check every conversation that a micro-batch adds turns to, with all its turns so far.
 
     A conversation may come in any number of batches; its newest check counts
-    (``latest_issues``).  A batch reads the stored turns of its own conversations only.
+    (``latest_issues``).  Turns of open conversations are kept in buckets by ``conv_id``: a
+    batch reads and rewrites the buckets of its own conversations.  A turn with a true
+    ``closes`` (a column's name) ends its conversation: it is checked once more and never
+    read again.  Turns that come after that make a conversation of their own.
     """
+    log = bucket_log(folder)
+    bucket = F.pmod(F.hash("conv_id"), F.lit(buckets)).alias("bucket")
 
     def check(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{folder}/turns/batch={number}")
-        # every check sees the same rows when a batch is run again
-        stored = spark.read.parquet(f"{folder}/turns").where(F.col("batch") <= number).drop("batch")
-        touched = spark.read.parquet(f"{folder}/turns/batch={number}").select("conv_id").distinct()
+        new = f"{folder}/turns/batch={number}"
+        batch.write.mode("overwrite").parquet(new)
+        came = spark.read.schema(batch.schema).parquet(new)
+        touched = came.select("conv_id").distinct()
+        hit = [r.bucket for r in touched.select(bucket).distinct().collect()]  # at most one number per bucket
+        kept = open_turns(spark, folder, number, batch.schema, hit)
+        both = kept.unionByName(came)
         touched.write.mode("overwrite").parquet(f"{folder}/checked/batch={number}")
-        whole = stored.join(touched, "conv_id", "left_semi")
-        quality.validate_turns(whole, minimum=minimum).write.mode("overwrite").parquet(f"{folder}/issues/batch={number}")
+        quality.validate_turns(both.join(touched, "conv_id", "left_semi"), minimum=minimum).write.mode("overwrite").parquet(f"{folder}/issues/batch={number}")
+        if closes:
+            both = both.join(both.where(F.col(closes)).select("conv_id").distinct(), "conv_id", "left_anti")
+        spread = F.pmod(F.hash("conv_id", "pos"), F.lit(4))
+        both.select(*batch.columns, bucket).repartition("bucket", spread).write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/open/v={number}")
+        # a bucket whose conversations are all closed has no folder of its own
+        held = both.select(bucket).distinct().collect()
+        versions = [(r.bucket, number) for r in held] + [(b, None) for b in hit if b not in {r.bucket for r in held}]
+        log.write(spark.createDataFrame(versions, VERSIONS), number)
 
     return _start(turns, folder, check, trigger=trigger)
 

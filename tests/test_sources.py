@@ -56,16 +56,6 @@ def test_stored_conversation_keeps_order(spark, tmp_path):
     assert [(r.pos, r.turn_id, r.text) for r in rows] == [(1, "t1", "a"), (2, "t2", "b")]
 
 
-def test_registry_versions(spark, tmp_path):
-    folder = str(tmp_path / "reg")
-    schema = "corpus_combination_id bigint, n bigint"
-    assert publish.read_registry(spark, folder, schema).count() == 0
-    publish.write_registry(spark.createDataFrame([(1, 1)], schema), folder, 8)
-    publish.write_registry(spark.createDataFrame([(1, 2), (2, 5)], schema), folder, 9)
-    publish.write_registry(spark.createDataFrame([(1, 2), (2, 5)], schema), folder, 10)
-    assert sorted(tuple(r) for r in publish.read_registry(spark, folder, schema).collect()) == [(1, 2), (2, 5)]
-
-
 def test_voice_reports_get_defaults(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"language": "hindi", "speakers_seen": 4}')
     (tmp_path / "b.json").write_text("{oops")

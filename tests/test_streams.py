@@ -41,8 +41,15 @@ def test_best_clips(spark, clips, tmp_path):
 
 def test_heartbeat_grows(spark, clips, tmp_path):
     streams.heartbeat(read(spark, EVENTS, clips), str(tmp_path)).awaitTermination()
-    beats = spark.read.parquet(f"{tmp_path}/heartbeat").orderBy("batch").collect()
+    beats = streams.heartbeats(spark, str(tmp_path)).orderBy("batch").collect()
     assert [b.clips_processed for b in beats] == [200, 400, 600]
+    whole = streams.speaker_state(spark.read.parquet(clips))
+    assert beats[-1].speakers_seen == whole.count()
+    assert beats[-1].speakers_qualified == whole.where("first_qualifying_index is not null").count()
+    # what a batch emits are the speakers it has clips of
+    emitted = {r.batch: r["count"] for r in spark.read.parquet(f"{tmp_path}/changes").groupBy("batch").count().collect()}
+    sizes = {r.part: r.n for r in spark.read.parquet(clips).groupBy(F.floor(F.col("source_index") / 200).alias("part")).agg(F.count_distinct("speaker_id").alias("n")).collect()}
+    assert emitted == sizes
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +65,9 @@ def outcomes(spark, tmp_path_factory):
 
 def test_failure_guard(spark, outcomes, tmp_path):
     streams.failure_guard(read(spark, ORDERS, outcomes), str(tmp_path), ["n"]).awaitTermination()
-    got = streams.latest_version(spark, f"{tmp_path}/runs", streams.RUNS).where("abandoned_at is not null")
+    got = streams.runs_log(str(tmp_path)).read(spark).where("abandoned_at is not null")
+    written = [spark.read.parquet(f"{tmp_path}/runs/level=0/run={n}").count() for n in range(3)]
+    assert written == [20, 20, 20]
     runs = planning.failure_runs(spark.read.parquet(outcomes), ["n"])
     want = planning.abandoned_instances(runs)
     assert {(r.corpus_combination_id, r.abandoned_at) for r in got.collect()} == {(r.corpus_combination_id, r.abandoned_at) for r in want.collect()}
@@ -68,6 +77,6 @@ def test_failure_guard(spark, outcomes, tmp_path):
 def test_progress_restarts_where_it_stopped(spark, outcomes, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         streams.progress(read(spark, ORDERS, outcomes).where("accepted"), str(tmp_path)).awaitTermination()
-    got = streams.latest_version(spark, f"{tmp_path}/progress", streams.PROGRESS)
+    got = streams.stored_progress(spark, str(tmp_path))
     want = planning.progress_rollup(spark.read.parquet(outcomes).where("accepted"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
