@@ -24,10 +24,11 @@ def in_batches(v: Views, rows: DataFrame, *by: str) -> DataFrame:
 
 def in_order(v: Views, rows: DataFrame, *order: str) -> DataFrame:
     """All rows as a stream of at least three micro-batches, earlier rows first."""
-    place = f"{workspace(v)}/input"
-    parted = rows.repartitionByRange(3, *order).withColumn("part", F.spark_partition_id())
+    place, cut = (f"{workspace(v)}/{name}" for name in ("input", "cut"))
+    # cut once: the range's points are drawn anew whenever they are computed
+    rows.repartitionByRange(3, *order).withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(cut)
     for part in range(3):  # files are taken by age
-        parted.where(c("part") == part).drop("part").coalesce(1).write.mode("append").parquet(place)
+        v.spark.read.schema(rows.schema).parquet(f"{cut}/part={part}").coalesce(1).write.mode("append").parquet(place)
     return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(place)
 
 
