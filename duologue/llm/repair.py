@@ -33,8 +33,8 @@ from duologue.llm import workers
 SPACE = " \t\n\x0b\x0c\r"
 ENDS = (".", "!", "?")
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
-#: Turns of a segment; results do not depend on it.
-SEGMENT = 256
+#: Turns of a segment; results do not depend on it, the work of a search grows with its square.
+SEGMENT = 12
 
 #: States: nothing yet, after the system turn, a user turn open, a pair closed.
 START, SYSTEM, OPEN, CLOSED = range(4)
@@ -79,8 +79,15 @@ def edits_of(code: int, state: int) -> list[tuple[str, int, int]]:
 
 
 MOVES = [[edits_of(code, state) for state in range(4)] for code in range(12)]
-#: The least a turn can cost in any state.
+#: The least a turn can cost in any state, and the least two turns in a row can.
 LEAST = [min(cost for moves in states for _, cost, _ in moves) for states in MOVES]
+LEAST_PAIR = [
+    [
+        min(a + INSERT * (middle != after) + b for state in range(4) for _, a, middle in MOVES[x][state] for after in {middle, AFTER_DUE[middle]} for _, b, _ in MOVES[y][after])
+        for y in range(12)
+    ]
+    for x in range(12)
+]
 
 
 def search(codes: list[int], entry: int) -> list[tuple[int, str] | None]:
@@ -93,6 +100,8 @@ def search(codes: list[int], entry: int) -> list[tuple[int, str] | None]:
     system_at = -1
     for i in range(n - 1, -1, -1):
         bound[i] = bound[i + 1] + LEAST[codes[i]]
+        if i + 1 < n:
+            bound[i] = max(bound[i], bound[i + 2] + LEAST_PAIR[codes[i]][codes[i + 1]])
         if system_at < 0 and codes[i] % 4 == 0 and codes[i] // 4 != GONE:
             system_at = i
     incumbents: list[tuple[int, str] | None] = [None] * 4
