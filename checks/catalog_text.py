@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.views import Views, cat, json_string, text_of
 from checks.views_sql import quote
 from duologue.functions import fixed_values as fv
-from duologue.operators import replies, requests, usage
+from duologue.operators import planning, replies, requests, usage
 from duologue.operators.planning import INSTANCE
 
 c = F.col
@@ -51,7 +51,7 @@ MISSED = """array_to_string(list_filter([CASE WHEN NOT m_language THEN 'language
 def requests_input(v: Views):
     """One request per corpus row, with a topic from the latest accepted conversation."""
     latest = v.accepted.groupBy(INSTANCE).agg(F.max_by("title", "finish_key").alias("title"))
-    return v.corpus.join(latest, INSTANCE).select(
+    return v.corpus.join(latest, INSTANCE).join(planning.topic_slots(v.topics, v.ORDER), INSTANCE).select(
         "*",
         cat("about ", c("title")).alias("context"),
         F.when(c(INSTANCE) % 3 > 0, "advice").alias("conversation_type"),
@@ -62,7 +62,6 @@ def requests_input(v: Views):
         cat("S1: [normal] ", c("title"), " (Neutral)").alias("transcript"),
         cat('[{"turn_id":"t1","text":', json_string(c("title")), "}]").alias("turns_json"),
         F.lit("- (major) [t1] x").alias("issues_text"),
-        F.lit("pets or animals").alias("domain"),
     )
 
 
@@ -71,6 +70,12 @@ REQUEST_INPUT = """
             CASE WHEN c.corpus_combination_id % 4 = 0 THEN 'fix ' || l.title END AS feedback, CASE WHEN c.corpus_combination_id % 8 = 0 THEN 'S1: [normal] hello (Neutral)' END AS previous,
             'S1: [normal] ' || l.title || ' (Neutral)' AS transcript, '[{"turn_id":"t1","text":"' || l.title || '"}]' AS turns_json
      FROM corpus c JOIN (SELECT corpus_combination_id, arg_max(title, finish_key) AS title FROM accepted GROUP BY 1) l USING (corpus_combination_id))"""
+DOMAINS_SQL = "[" + ", ".join(quote(x) for x in fv.TOPIC_DOMAINS) + "]"
+TOPICS_SQL = """(SELECT corpus_combination_id, finish_key, title, CASE WHEN finish_key % 3 > 0 THEN 'advice' ELSE 'unknown' END AS kind, finish_key % 7 = 0 AS resumed,
+    row_number() OVER (PARTITION BY corpus_combination_id ORDER BY finished_at, finish_key) AS pos FROM accepted)"""
+DRAWN_SQL = f"list_sort(list_transform({DOMAINS_SQL}, lambda d: struct_pack(h := sha256(corpus_combination_id || '/' || d), d := d)))[CAST(({{0}}) % {len(fv.TOPIC_DOMAINS)} AS BIGINT) + 1].d"
+SLOTS_SQL = f"""(SELECT corpus_combination_id, history, {DRAWN_SQL.format('n')} AS domain FROM (
+    SELECT corpus_combination_id, string_agg(title || ' (' || kind || ')', chr(10) ORDER BY pos) AS history, max(pos) - coalesce(max(pos) FILTER (resumed), 0) AS n FROM {TOPICS_SQL} GROUP BY 1))"""
 
 
 def given(label: str, x: str) -> str:
@@ -90,7 +95,7 @@ _genders = "(CASE regexp_extract_all(lower(gender_pair), '[mf]')[{0}] WHEN 'm' T
 _pace = "CAST(CAST(floor(duration_sec + 0.5) AS BIGINT) AS VARCHAR) || ' seconds, ' || greatest(24, CAST(floor(duration_sec / 7) AS BIGINT)) || ' turns, ' || CAST(floor(duration_sec * 2.5) AS BIGINT) || ' words'"
 _both = "CASE WHEN feedback IS NOT NULL AND previous IS NOT NULL THEN {0} END"
 PROMPT_SQL = {
-    "topic": ["'Propose one conversation topic.'", given("language", "language"), "'area: pets or animals'", "CASE WHEN include_numbers THEN 'Concrete numbers should come up.' ELSE 'Keep it qualitative.' END", *PROFILE, "'Reply with one JSON object: \"title\", \"context\".'"],
+    "topic": ["'Propose one conversation topic.'", given("language", "language"), given("area", "domain"), "CASE WHEN include_numbers THEN 'Concrete numbers should come up.' ELSE 'Keep it qualitative.' END", *PROFILE, block("Used topics", "history"), "'Reply with one JSON object: \"title\", \"context\".'"],
     "generator": ["'Write a two-speaker conversation in the tagged line format.'", given("title", "title"), given("context", "context"), given("language", "language"), block("Language", _directive), given("type", "conversation_type"), *PROFILE,
                   block("Accents", _accents), block("Target length", _pace), "CASE WHEN include_numbers THEN 'Use concrete numbers.' ELSE 'Keep it qualitative.' END",
                   block("Feedback to fix", _both.format("feedback")), block("Previous transcript", _both.format("previous")), "'Reply with transcript lines only.'"],
@@ -166,12 +171,18 @@ def register(q) -> None:
     q(
         "prompt_table",
         all_prompts,
-        " UNION ALL ".join(f"SELECT corpus_combination_id, '{k}' AS kind, concat_ws(chr(10), {', '.join(parts)}) AS prompt FROM {REQUEST_INPUT}" for k, parts in PROMPT_SQL.items()),
+        " UNION ALL ".join(f"SELECT corpus_combination_id, '{k}' AS kind, concat_ws(chr(10), {', '.join(parts)}) AS prompt FROM {REQUEST_INPUT} JOIN {SLOTS_SQL} USING (corpus_combination_id)" for k, parts in PROMPT_SQL.items()),
+    )
+    q(
+        "domain_draw",
+        lambda v: planning.drawn_domains(v.topics, v.ORDER).select(INSTANCE, "finish_key", "pos", "domain"),
+        f"""SELECT corpus_combination_id, finish_key, pos, CASE WHEN NOT resumed THEN {DRAWN_SQL.format('pos - since - 1')} END AS domain FROM (
+               SELECT *, coalesce(max(CASE WHEN resumed THEN pos END) OVER (PARTITION BY corpus_combination_id ORDER BY pos), 0) AS since FROM {TOPICS_SQL})""",
     )
     q(
         "reply_json_extract",
-        lambda v: replies.extract_json(v.replies).select("doc_id", "needs_retry", F.length("body").alias("n_chars")),
-        "SELECT doc_id, body IS NULL AS needs_retry, length(body) AS n_chars FROM bodies",
+        lambda v: replies.extract_json(v.replies).select("doc_id", "needs_retry", "body"),
+        "SELECT doc_id, body IS NULL AS needs_retry, body FROM bodies",
     )
     q(
         "content_verdict_normalise",

@@ -370,6 +370,13 @@ class Views:
     def accepted(self) -> DataFrame:
         return self.outcomes.where("accepted")
 
+    @cached_property
+    def topics(self) -> DataFrame:
+        """Accepted conversations as topics; every seventh order stands for one read back from storage."""
+        c = F.col
+        kind = F.when(c("finish_key") % 3 > 0, "advice").alias("conversation_type")
+        return self.accepted.select(INSTANCE, "finished_at", "finish_key", "title", kind, (c("finish_key") % 7 == 0).alias("resumed"))
+
     @cached_property
     def accepted_indexed(self) -> DataFrame:
         return planning.number_conversations(self.accepted, self.ORDER)

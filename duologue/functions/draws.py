@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +51,12 @@ def target_duration(
     )
 
 
+def permuted(key: Column, values: Sequence[str]) -> Column:
+    """All values in an order of the key's own: by the SHA-256 of ``key/value``."""
+    ranked = F.transform(F.array(*[F.lit(v) for v in values]), lambda v: F.struct(F.sha2(F.concat_ws("/", key.cast("string"), v), 256).alias("at"), v.alias("v")))
+    return F.transform(F.array_sort(ranked), lambda x: x["v"])
+
+
 def inclusion_share(value: Column, default: float = fv.NUMBER_INCLUSION_DEFAULT) -> Column:
     """A fraction or a percentage as a fraction within 0..1; unreadable -> default."""
     number = F.trim(value.cast("string")).try_cast("double")

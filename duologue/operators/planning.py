@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duologue.functions import draws
 from duologue.functions import fixed_values as fv
 from duologue.functions.text import lookup, round_half_up, strip
-from duologue.operators.ordered import BLOCK_ROWS, join_parts, number_rows, part_window, running, with_halo, with_parts
+from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, join_parts, number_rows, part_window, running, with_halo, with_parts
 
 INSTANCE = "corpus_combination_id"
 MONEY = "decimal(28,3)"  # exact seconds, so that sums do not depend on their order
@@ -426,6 +427,39 @@ def allowed_domains(
     )
 
 
+def drawn_domains(topics: DataFrame, order: Sequence[str], domains: Sequence[str] = tuple(fv.TOPIC_DOMAINS)) -> DataFrame:
+    """Adds ``pos`` and the ``domain`` each topic was drawn from; ``resumed`` topics were read back without theirs.
+
+    When all of the last ``len(domains) - 1`` domains are barred, one is left: the choices are
+    the instance's permutation of all domains, over and over.  A resumed topic bars nothing,
+    so the topics after it begin the permutation anew.
+    """
+    numbered = number_rows(topics, [INSTANCE], order)
+    blocked = numbered.withColumn("_blk", block_of(F.col("pos") - 1))
+    since = running(blocked, [INSTANCE], ["pos"], ["_blk"], {"_since": ("max", F.when(F.col("resumed"), F.col("pos")))})
+    nth = (F.col("pos") - F.coalesce("_since", F.lit(0)) - 1) % len(domains)
+    drawn = F.get(draws.permuted(F.col(INSTANCE), domains), nth.cast("int"))
+    return since.withColumn("domain", F.when(~F.col("resumed"), drawn)).drop("_since", "_blk")
+
+
+def topic_slots(topics: DataFrame, order: Sequence[str], domains: Sequence[str] = tuple(fv.TOPIC_DOMAINS)) -> DataFrame:
+    """Per instance what its next topic request needs: ``history`` lines in order, and the ``domain`` to draw from.
+
+    The lines of an instance make one text, as its request holds them all: one line for each
+    accepted conversation, which its target duration bounds.
+    """
+    line = F.concat(strip(F.col("title")), F.lit(" ("), F.coalesce("conversation_type", F.lit("unknown")), F.lit(")"))
+    entry = F.struct(*order, line.alias("line"), F.col("resumed").alias("resumed"))
+    found = topics.groupBy(INSTANCE).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    back = F.array_position(F.reverse(F.transform("_all", lambda x: x["resumed"])), F.lit(True))
+    nth = F.when(back > 0, back - 1).otherwise(F.size("_all")) % len(domains)
+    return found.select(
+        INSTANCE,
+        F.array_join(F.transform("_all", lambda x: x["line"]), "\n").alias("history"),
+        F.get(draws.permuted(F.col(INSTANCE), domains), nth.cast("int")).alias("domain"),
+    )
+
+
 # ---- guidance ----------------------------------------------------------------
 def accent_marker(accent: Column, language: Column) -> Column:
     """Marker text for one speaker's accent, NULL when there is nothing to add."""
