@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duologue.llm import workers
+from duologue.operators.ordered import running
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -25,6 +26,8 @@ MAX_STEPS = 60
 #: The rounding threshold is found in two passes of this many bits each.
 BITS = 12
 SALT = 8675309
+#: Rows of a group of repeats that are made at once.
+RUN = 4096
 
 
 def source_key(source: Column) -> Column:
@@ -33,13 +36,24 @@ def source_key(source: Column) -> Column:
 
 
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source_key, size, spot) per row; ``spot`` is a repeatable draw from [0, 1)."""
+    """(key, source_key, size, spot) per row; ``spot`` is a repeatable draw from [0, 1).
+
+    Rows that repeat key, source and size are counted, not told apart; their draws lie
+    evenly spread around the first.
+    """
     rows = docs.select(docs[key].alias("key"), source_key(docs[source]).alias("source_key"), workers.word_count(docs[text]).alias("size"))
-    return rows.withColumn("spot", _spot(F.col("key"), F.col("source_key"), F.col("size")))
+    counted = workers.stored(rows.groupBy("key", "source_key", "size").agg(F.count("*").alias("n")))
+    few = counted.where(F.col("n") <= RUN).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    # a group of very many rows is dealt to tasks in runs
+    runs = counted.where(F.col("n") > RUN).withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long")))).repartition("key", "source_key", "size", "low")
+    many = runs.withColumn("nth", F.explode(F.sequence(F.col("low"), F.least(F.col("low") + RUN, F.col("n")) - 1))).drop("low")
+    spot = _spot(F.col("key"), F.col("source_key"), F.col("size"), F.col("nth"), F.col("n"))
+    return few.unionByName(many).select("key", "source_key", "size", spot.alias("spot"))
 
 
-def _spot(key: Column, source: Column, size: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(SALT), key, source, size), F.lit(1 << 52)) / F.lit(float(1 << 52))
+def _spot(key: Column, source: Column, size: Column, nth: Column, n: Column) -> Column:
+    first = F.pmod(F.xxhash64(F.lit(SALT), key, source, size), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return F.when(n == 1, first).otherwise((first + nth / n) % 1.0)
 
 
 def weigh(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -195,7 +209,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
     """One row per input row: key, size, source_size, target, copies, taken.
 
     A null text has size 0.  Null sources are one source, the last.  Rows that repeat a
-    key, source and size get equal copies; a null key is a key like any other here.  An
+    key, source and size share out their copies evenly; a null key is a key like any other here.  An
     empty table gives no rows.  Other columns are not read.
     """
     items = workers.stored(sized(docs, key, text, source))
@@ -204,11 +218,28 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Each row as often as its copies say, with its columns as they are; texts move only if sources are too many to broadcast."""
+    """Each row as often as its copies say, with its columns as they are; texts move only if sources are too many to broadcast.
+
+    Rows that repeat key, source and size are numbered by a digest of all their columns,
+    equal rows counted before they move.
+    """
     items = workers.stored(sized(docs, key, text, source))
     solved = solve(items, weights, share).select(*(F.col(c).alias(f"__mix_{c}") for c in ("source_key", "tilt", "scale", "cut")))
-    wide = docs.withColumns({"__mix_size": workers.word_count(docs[text]), "__mix_of": source_key(docs[source])})
-    wide = wide.withColumn("__mix_spot", _spot(F.col(key), F.col("__mix_of"), F.col("__mix_size")))
-    joined = wide.join(workers.small_side(solved), F.col("__mix_of") == F.col("__mix_source_key"))
+    again = workers.stored(items.groupBy("key", "source_key", "size").agg(F.count("*").alias("n")).where("n > 1"))
+    again = workers.small_side(again.select(*(F.col(c).alias(f"__mix_{c}s") for c in ("key", "source_key", "size")), F.col("n").alias("__mix_all")))
+    wide = docs.withColumns({"__mix_key": F.col(f"`{key}`"), "__mix_of": source_key(docs[source]), "__mix_size": workers.word_count(docs[text])})
+    same = F.col("__mix_key").eqNullSafe(F.col("__mix_keys")) & (F.col("__mix_of") == F.col("__mix_source_keys")) & (F.col("__mix_size") == F.col("__mix_sizes"))
+    wide = wide.join(again, same, "left").drop("__mix_keys", "__mix_source_keys", "__mix_sizes")
+    once = wide.where(F.col("__mix_all").isNull()).withColumns({"__mix_all": F.lit(1).cast("long"), "__mix_nth": F.lit(0).cast("long")})
+    columns = [f"`{c}`" for c in wide.columns]
+    equal = wide.where(F.col("__mix_all").isNotNull()).groupBy(*columns).agg(F.count("*").alias("__mix_rows")).withColumn("__mix_digest", F.xxhash64(*columns))
+    group = ["__mix_key", "__mix_of", "__mix_size"]
+    placed = running(equal, group, ["__mix_digest"], None, {"__mix_upto": ("sum", F.col("__mix_rows"))})
+    first = F.col("__mix_upto") - F.col("__mix_rows")
+    placed = placed.withColumn("__mix_low", F.explode(F.sequence(first, F.col("__mix_upto") - 1, F.lit(RUN).cast("long"))))
+    nth = F.explode(F.sequence(F.col("__mix_low"), F.least(F.col("__mix_low") + RUN, F.col("__mix_upto")) - 1))
+    placed = placed.withColumn("__mix_nth", nth).select(*columns, "__mix_nth")
+    spot = _spot(*map(F.col, (*group, "__mix_nth", "__mix_all")))
+    joined = once.unionByName(placed).withColumn("__mix_spot", spot).join(workers.small_side(solved), F.col("__mix_of") == F.col("__mix_source_key"))
     repeated = joined.withColumn("__mix_n", F.explode(F.array_repeat(F.lit(0), copies("__mix_"))))
     return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -66,3 +66,21 @@ def test_awkward_rows(spark):
     assert mixing.plan(rows.empty(spark)).count() == mixing.mix(rows.empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, None), (2, "", "s")], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.plan(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_repeated_rows_meet_their_target(spark, monkeypatch):
+    """A thousand rows without an id, equal or of equal size, next to sources of distinct rows."""
+    monkeypatch.setattr(mixing, "RUN", 64)
+    texts = ["a b c d e f g h i j", "k l m n o p q r s t"]
+    data = [(None, texts[i % 3 == 0], "en", "b", i % 2) for i in range(1000)] + [(i, rows.prose(i, 30), "en", "a" if i % 2 else None, 0) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, spot int").repartition(3)
+    plan = mixing.plan(docs)
+    got = plan.where("key is null").selectExpr("max(target) as target", "sum(taken) as taken", "count(*) as n").first()
+    assert got.n == 1000 and abs(got.taken - got.target) <= 40 and 0 < got.target
+    mixed = mixing.mix(docs)
+    assert mixed.schema == docs.schema
+    assert mixed.where("doc_id is null").count() * 10 == got.taken
+    kinds = {r.text: r["count"] for r in mixed.where("doc_id is null").groupBy("text").count().collect()}
+    assert set(kinds) == set(texts)
+    counts = [{r.source: r["count"] for r in m.groupBy("source").count().collect()} for m in (mixed, mixing.mix(docs.repartition(5)))]
+    assert counts[0] == counts[1]

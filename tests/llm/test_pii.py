@@ -84,3 +84,15 @@ def test_masking(spark):
     r = pii.mask_documents(one).first()
     assert (r.text, r.n_chars) == ("x <PHONE> é", 11)
     assert pii.find_spans(rows.empty(spark)).count() == 0
+
+
+def test_capitals_behind_an_iban():
+    for text in ("BE68 5390 0754 7034 THE", "pay BE68539007547034 THE", "BE68 5390 0754 7034 the", "DE89 3704 0044 0532 0130 00 AND NOW", "BE68 5390 0754 7034 BE68 5390 0754 7034"):
+        spans = [text[s:e] for k, s, e, _ in pii.find(text) if k == "iban"]
+        assert spans and all(x.replace(" ", "") in ("BE68539007547034", "DE89370400440532013000") for x in spans), text
+    assert not [x for x in pii.find("BE68 5390 0754 7034ABC and BE69 5390 0754 7034") if x[0] == "iban"]
+
+
+def test_context_is_whole_words():
+    assert pii.score("ip", "the ship 1.2.3.4 sails", 9, 16) == pii.PRIOR["ip"]
+    assert pii.score("ip", "the host 1.2.3.4 answers", 9, 16) > pii.PRIOR["ip"]
