@@ -21,6 +21,32 @@ EXTRA = ["age_group", "primary_language", "native_place_state", "native_place_di
 KEPT = ["age_group", "native_place_state", "occupation_domain"]
 
 
+def nation_classes(v: Views, column: str):
+    return v.table("nation").select(F.lit(column).alias("column_name"), c("n_nationkey").alias("code"), c("n_name").alias("name"))
+
+
+def class_table(v: Views):
+    """Class numbers of seven columns; scenario has none, so its numbers stay."""
+    regions = v.table("region").select(c("r_regionkey").alias("code"), c("r_name").alias("name"))
+    columns = F.explode(F.array(*[F.lit(x) for x in ("age_group", "job_type", "qualification", "area")])).alias("column_name")
+    return v.classes.unionByName(nation_classes(v, "state")).unionByName(regions.select(columns, "code", "name"))
+
+
+def coded_customers(v: Views):
+    key = c("c_custkey")
+    region = v.table("nation").select(c("n_nationkey").alias("c_nationkey"), c("n_regionkey").alias("area"))
+    return v.table("customer").join(region, "c_nationkey").select(
+        key,
+        (key % 4).alias("gender"),
+        (key % 5).cast("int").alias("age_group"),
+        (key % 6).alias("job_type"),
+        F.when(key % 3 > 0, (key + 1) % 5).alias("qualification"),
+        "area",
+        c("c_nationkey").alias("state"),
+        (key % 2).alias("scenario"),
+    )
+
+
 def meta(name: str):
     return F.try_element_at("extra_metadata", F.lit(name)).alias(name)
 
@@ -88,6 +114,19 @@ def register(q) -> None:
         lambda v: clip_sources.language_filter(v.table("documents"), "lang", "fr").select("doc_id", "lang", "n_chars"),
         "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'fr'",
     )
+    q(
+        "source_named_filter",
+        lambda v: clip_sources.named_filter(v.table("customer"), nation_classes(v, "c_nationkey"), "c_nationkey", v.table("nation").where("n_nationkey = 6").first().n_name).select("c_custkey", "c_nationkey"),
+        "SELECT c_custkey, c_nationkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_name = (SELECT n_name FROM nation WHERE n_nationkey = 6)",
+    )
+    q(
+        "class_columns_decode",
+        lambda v: voice.decode_classes(coded_customers(v), class_table(v)),
+        """SELECT c_custkey, coalesce(g.name, CAST(c_custkey % 4 AS VARCHAR)) AS gender, a.r_name AS age_group, coalesce(j.r_name, CAST(c_custkey % 6 AS VARCHAR)) AS job_type,
+                  CASE WHEN c_custkey % 3 > 0 THEN s.r_name END AS qualification, n.r_name AS area, m.n_name AS state, CAST(c_custkey % 2 AS VARCHAR) AS scenario
+           FROM customer JOIN nation m ON m.n_nationkey = c_nationkey JOIN region n ON n.r_regionkey = m.n_regionkey LEFT JOIN (VALUES (0, 'Male'), (1, 'Female'), (2, 'unknown')) g(code, name) ON g.code = c_custkey % 4
+           LEFT JOIN region a ON a.r_regionkey = c_custkey % 5 LEFT JOIN region j ON j.r_regionkey = c_custkey % 6 LEFT JOIN region s ON s.r_regionkey = (c_custkey + 1) % 5""",
+    )
     q(
         "source_union",
         lambda v: clip_sources.union_sources({"english": v.accented_clips, "hindi": v.indic_clips}).select(

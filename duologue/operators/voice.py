@@ -97,6 +97,31 @@ def decode_labels(df: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     )
 
 
+#: The columns that corpora store as class numbers.
+CLASS_COLUMNS = ["gender", "age_group", "job_type", "qualification", "area", "state", "scenario"]
+
+
+def decode_classes(df: DataFrame, classes: DataFrame, columns: Sequence[str] = tuple(CLASS_COLUMNS)) -> DataFrame:
+    """All class columns by name in one pass; unknown numbers stay as they are, nulls stay null.
+
+    ``classes`` holds ``(column_name, code, name)``.  It comes with the corpus' schema, a
+    class per row, so it fits one map that every task gets.
+    """
+    present = [c for c in columns if c in df.columns]
+    cell = F.struct(F.concat_ws(":", "column_name", F.col("code").cast("string")).alias("k"), F.col("name").alias("v"))
+    known = classes.where(F.col("column_name").isin(present)).dropDuplicates(["column_name", "code"])
+    names = known.agg(F.map_from_entries(F.collect_list(cell)).alias("names"))
+    named = df.withColumn("__names", names.scalar())
+    decoded = {c: F.coalesce(F.try_element_at("__names", F.concat(F.lit(f"{c}:"), F.col(c).cast("string"))), F.col(c).cast("string")) for c in present}
+    return named.withColumns(decoded).drop("__names")
+
+
+def codes_of(classes: DataFrame, column: str, name: str) -> list[str]:
+    """The raw values, as texts, that decode to a name: its numbers, and the name itself where no class has it as number."""
+    rows = classes.where(F.col("column_name") == column).select(F.col("code").cast("string").alias("code"), "name").collect()
+    return [r.code for r in rows if r.name == name] + [name] * (name not in {r.code for r in rows})
+
+
 def best_clip_per_speaker(
     clips: DataFrame,
     *,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duologue.functions.text import blank_to_null
 from duologue.operators import voice
@@ -82,6 +84,21 @@ def language_filter(raw: DataFrame, column: str | None, value: str | None) -> Da
     return raw.where(F.col(column) == value)
 
 
+def named_filter(raw: DataFrame, classes: DataFrame, column: str | None, name: str | None) -> DataFrame:
+    """Equality filter on the decoded name of a class column.
+
+    The name turns into the raw values that stand for it before anything is read, so the
+    filter is one on the stored numbers and reaches the Parquet scan.
+    """
+    if not column or name is None:
+        return raw
+    kind = raw.schema[column].dataType
+    codes = voice.codes_of(classes, column, name)
+    if not isinstance(kind, T.StringType):
+        codes = [int(x) for x in codes if re.fullmatch(r"-?[0-9]{1,18}", x) and str(int(x)) == x]
+    return raw.where(F.col(column).isin(codes)) if codes else raw.where(F.lit(False))
+
+
 def union_sources(by_language: Mapping[str, DataFrame]) -> DataFrame:
     """All corpora in run order (``language_order``) under the common schema."""
     merged: DataFrame | None = None
