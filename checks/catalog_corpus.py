@@ -263,6 +263,13 @@ def register(q) -> None:
         lambda v: planning.language_ordered(v.corpus, LANGUAGES).select(INSTANCE, "language_pos", "row_pos", "order_no"),
         f"SELECT corpus_combination_id, language_pos, row_pos, order_no FROM ({ORDERED_SQL.format('corpus')})",
     )
+    q(
+        "language_requests_refused",
+        lambda v: planning.unsupported_requests(v.table("documents").select("doc_id", F.array(F.lit("english"), c("lang"), F.when(c("doc_id") % 2 == 0, "hindi").otherwise(c("source"))).alias("languages"))).select(
+            "doc_id", F.array_join("unsupported", "|").alias("unsupported")
+        ),
+        "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang WHEN source = lang THEN lang ELSE lang || '|' || source END AS unsupported FROM documents",
+    )
     q(
         "processing_order",
         lambda v: planning.processing_order(v.corpus_progress, v.skipped, LANGUAGES).select(INSTANCE, "state", "order_no"),

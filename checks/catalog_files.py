@@ -53,9 +53,15 @@ def sidecar_input(v: Views):
     stats = quality.conversation_stats(v.turns_timed).drop("duration_sec", "n_turns")
     one = layout(v)
     k = c(INSTANCE) % 4
-    return one.join(stats, one[INSTANCE] == stats["conv_id"]).select(
+    tally = quality.turn_type_tally(v.turns_timed.withColumn("turn_type", F.when(c("pos") % 7 > 0, c("turn_type"))))
+    listed = tally.groupBy(c("conv_id").alias("_conv")).agg(F.collect_list(F.struct("turn_type", "n")).alias("type_counts"))
+    return one.join(stats, one[INSTANCE] == stats["conv_id"]).join(listed, c("conv_id") == c("_conv")).select(
         one["*"], *fv.TURN_TYPES, F.when(k > 0, c("duration_sec") + 10).alias("target_sec"), k.alias("generation_attempts"), F.when(k > 1, k).alias("format_attempts"),
-        F.when(k != 2, "PASS").alias("content_verdict"), F.lit(None).cast("string").alias("format_verdict"),
+        F.when(k != 2, "PASS").alias("content_verdict"), F.when(k == 3, "FAIL").alias("format_verdict"),
+        F.lit(3).alias("max_generation_attempts"), F.when(k > 0, 3).alias("max_format_attempts"), (k + 1).alias("content_checks"), (k > 2).alias("content_bypassed"),
+        F.when(k > 0, k == 1).alias("format_exhausted"), k.alias("realism_score"), F.when(k == 1, 9).alias("corpus_match_score"), "type_counts",
+        F.when(k > 0, F.create_map(F.lit("language"), k == 1, F.lit("agent_accent"), F.when(k < 3, True))).alias("field_matches"),
+        F.when(k > 0, F.lit("ok")).alias("content_feedback"), F.lit("t2 differs").alias("format_feedback"),
     )
 
 
@@ -84,11 +90,18 @@ SIDECAR = ", ".join([
     "chr(10) || '## Profile'", *[line(n, txt(n)) for n in ("language", "gender_pair", "agent_emotion", "user_emotion", "agent_accent", "user_accent")],
     "chr(10) || '## Duration'", line("duration_sec", dec("duration_sec")), line("duration_min", dec(rnd("duration_sec / 60.0::DOUBLE"))),
     line("target_duration_sec", dec("target_sec")), line("target_duration_min", dec(rnd("target_sec / 60.0::DOUBLE"))),
-    "chr(10) || '## Turn counts'", "'total_turns: ' || (n1 + n2 + n3 + n4)", "'backchannel_count: ' || n4", "'overlap_count: ' || n2", "'interruption_count: ' || n3", "'normal_count: ' || n1",
-    "chr(10) || '## Retries'", "'generation_retries: ' || greatest(0, k - 1)", "'format_retries: ' || CASE WHEN k > 1 THEN k - 1 ELSE 0 END",
+    "chr(10) || '## Turn counts'", "'total_turns: ' || (n1 + n2 + n3 + n4)", "'backchannel_count: ' || n4", "'overlap_count: ' || n2", "'interruption_count: ' || n3", "'normal_count: ' || n1", "types",
+    "chr(10) || '## Retries'", "'generation_attempts_used: ' || k || ' of 3'", "'format_attempts_used: ' || CASE WHEN k > 1 THEN k ELSE 0 END || ' of ' || CASE WHEN k > 0 THEN '3' ELSE 'None' END",
+    "'content_checks_used: ' || (k + 1) || ' of None'", "'format_checks_used: 0 of None'",
+    "'generation_retries: ' || greatest(0, k - 1)", "'format_retries: ' || CASE WHEN k > 1 THEN k - 1 ELSE 0 END",
+    "'content_bypassed: ' || (k > 2)", "'format_bypassed: false'", "'format_exhausted: ' || (k = 1)",
     "chr(10) || '## Content validation'", "'verdict: ' || CASE WHEN k <> 2 THEN 'PASS' ELSE 'none given' END",
-    "chr(10) || '## Format validation'", "'verdict: none given'",
+    "CASE WHEN k <> 2 THEN 'realism_score: ' || k END", "CASE WHEN k = 1 THEN 'corpus_match_score: 9' END",
+    "CASE WHEN k IN (1, 3) THEN '  agent_accent: ' || CASE WHEN k < 3 THEN 'true' ELSE 'None' END || chr(10) || '  language: ' || (k = 1) END", "CASE WHEN k IN (1, 3) THEN 'feedback: ok' END",
+    "chr(10) || '## Format validation'", "'verdict: ' || CASE WHEN k = 3 THEN 'FAIL' ELSE 'none given' END", "CASE WHEN k = 3 THEN 'feedback: t2 differs' END",
 ])
+TALLY_SQL = """(SELECT conv_id, string_agg('  ' || turn_type || ': ' || n, chr(10) ORDER BY turn_type) AS types FROM (
+    SELECT conv_id, coalesce(CASE WHEN pos % 7 > 0 THEN turn_type END, 'Unknown') AS turn_type, count(*) AS n FROM turns_timed GROUP BY 1, 2) GROUP BY 1)"""
 
 
 def register(q) -> None:
@@ -169,8 +182,8 @@ def register(q) -> None:
         "metadata_sidecar",
         lambda v: publish.sidecar(sidecar_input(v)),
         f"""SELECT corpus_combination_id, "index", concat_ws(chr(10), {SIDECAR}) AS metadata FROM (
-               SELECT l.*, s."Normal" AS n1, s."Overlapping" AS n2, s."Interruption" AS n3, s."Backchanneling" AS n4, l.corpus_combination_id % 4 AS k, CASE WHEN l.corpus_combination_id % 4 > 0 THEN l.duration_sec + 10 END AS target_sec
-               FROM {LAYOUT} l JOIN {ct.STATS} s ON s.conv_id = l.corpus_combination_id)""",
+               SELECT l.*, s."Normal" AS n1, s."Overlapping" AS n2, s."Interruption" AS n3, s."Backchanneling" AS n4, l.corpus_combination_id % 4 AS k, CASE WHEN l.corpus_combination_id % 4 > 0 THEN l.duration_sec + 10 END AS target_sec, y.types
+               FROM {LAYOUT} l JOIN {ct.STATS} s ON s.conv_id = l.corpus_combination_id JOIN {TALLY_SQL} y ON y.conv_id = l.corpus_combination_id)""",
     )
     # ---- uploads ----
     q("remote_relative_listing", lambda v: v.remote_relative, "SELECT path FROM remote_relative")

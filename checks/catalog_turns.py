@@ -343,6 +343,12 @@ MINIMUM_SQL = """
     UNION ALL SELECT conv_id, 'several_relations', CAST(p AS VARCHAR), count(*) FROM (SELECT conv_id, pos AS p FROM related UNION ALL SELECT conv_id, host_pos FROM related) GROUP BY 1, 3 HAVING count(*) > 1"""
 
 
+def emptied_items(v: Views):
+    """Reply items of which every third conversation has no text left."""
+    blank = F.transform_values("item", lambda k, x: F.when((F.lower(k) == "text") & (c("conv_id") % 3 == 0), "  ").otherwise(x))
+    return v.items.withColumn("item", blank)
+
+
 def normalised(v: Views):
     return turns.normalise_items(v.items)
 
@@ -438,6 +444,16 @@ def register(q) -> None:
                SELECT conv_id, turn_type, n, sum(n) OVER (PARTITION BY conv_id) AS total FROM (
                    SELECT t.conv_id, k.kind AS turn_type, count(*) FILTER (t.turn_type = k.kind) AS n FROM turns_timed t, (VALUES ('Normal'), ('Overlapping'), ('Interruption'), ('Backchanneling')) k(kind) GROUP BY 1, 2))""",
     )
+    q(
+        "turn_type_tally",
+        lambda v: quality.turn_type_tally(v.turns_timed.withColumn("turn_type", F.when(c("pos") % 7 == 1, "").when(c("pos") % 7 > 0, c("turn_type")))),
+        "SELECT conv_id, CASE WHEN pos % 7 > 1 THEN turn_type ELSE 'Unknown' END AS turn_type, count(*) AS n FROM turns_timed GROUP BY 1, 2",
+    )
+    q(
+        "usable_turns",
+        lambda v: turns.usable_conversations(emptied_items(v), turns.normalise_items(emptied_items(v))),
+        f"SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 0 ELSE n END AS n_usable, conv_id % 3 = 0 AS is_error FROM (SELECT conv_id, count(*) AS n FROM ({NORMALISED_SQL}) GROUP BY 1)",
+    )
     q("conversation_duration", lambda v: quality.conversation_duration(v.turns_timed).select("conv_id", round_half_up(c("duration_sec"), 2).alias("duration_sec")),
       f"SELECT conv_id, {rnd('max(planned_end_sec) - min(planned_start_sec)')} AS duration_sec FROM turns_timed GROUP BY 1")
     q(

@@ -218,6 +218,7 @@ def run_plan_summary(progress: DataFrame, skipped: DataFrame) -> DataFrame:
 # ---- order of work -----------------------------------------------------------
 def by_language(corpus: DataFrame, languages: Sequence[str] | None) -> DataFrame:
     """Rows of the requested languages with the language's place among them (0 if none is requested)."""
+    refuse_unsupported(languages)
     lang = F.lower("language")
     if not languages:
         return corpus.withColumn("language_pos", F.lit(0))
@@ -230,10 +231,17 @@ def language_ordered(corpus: DataFrame, languages: Sequence[str] | None) -> Data
     return number_rows(by_language(corpus, languages), [], ["language_pos", "row_pos"], name="order_no")
 
 
-def unsupported_languages(corpus: DataFrame, requested: DataFrame) -> DataFrame:
-    """Requested languages the corpus does not hold; a run must refuse them."""
-    held = corpus.select(F.lower("language").alias("language")).distinct()
-    return requested.select("language").distinct().join(held, "language", "left_anti")
+def refuse_unsupported(languages: Sequence[str] | None, supported: Sequence[str] = tuple(fv.LANGUAGE_DIRECTIVES)) -> None:
+    """An error that names the requested languages a run can't do; no request means all."""
+    odd = [x for x in languages or [] if x not in supported]
+    if odd:
+        raise ValueError(f"unsupported languages {odd}, choose from {list(supported)}")
+
+
+def unsupported_requests(requests: DataFrame, supported: Sequence[str] = tuple(fv.LANGUAGE_DIRECTIVES)) -> DataFrame:
+    """Requests (an id and a ``languages`` list) that name unsupported languages, and which."""
+    odd = F.array_except("languages", F.array(*[F.lit(x) for x in supported]))
+    return requests.withColumn("unsupported", odd).where(F.size("unsupported") > 0)
 
 
 def processing_order(progress: DataFrame, skipped: DataFrame, languages: Sequence[str] | None = None) -> DataFrame:

@@ -71,8 +71,29 @@ def payloads(conversations: DataFrame, turn_documents: DataFrame) -> DataFrame:
     return joined.select("corpus_combination_id", "index", language_folder(F.col("language")).alias("language"), body.alias("body"))
 
 
+#: Counters of the summary and the columns that hold how many were used and allowed.
+ATTEMPTS = [
+    ("generation_attempts", "max_generation_attempts"),
+    ("format_attempts", "max_format_attempts"),
+    ("content_checks", "max_content_checks"),
+    ("format_checks", "max_format_checks"),
+]
+FLAGS = ["content_bypassed", "format_bypassed", "format_exhausted"]
+
+
 def sidecar(conversations: DataFrame) -> DataFrame:
-    """Human-readable summary of each accepted conversation."""
+    """Human-readable summary of each accepted conversation.
+
+    ``type_counts`` (``turn_type, n`` of every type found), ``field_matches`` (a map),
+    scores, flags, allowed attempts and the judges' feedback may be absent columns or
+    null: counts are then 0, flags false, allowed numbers ``None``, and lists, scores and
+    feedback leave no line.
+    """
+    have = {x.name: x.dataType for x in conversations.schema.fields}
+    gone = [n for pair in ATTEMPTS for n in pair] + ["content_feedback", "format_feedback", "realism_score", "corpus_match_score"]
+    kinds = {n: "string" for n in gone} | {n: "boolean" for n in FLAGS}
+    kinds |= {"type_counts": "array<struct<turn_type:string,n:bigint>>", "field_matches": "map<string,boolean>"}
+    conversations = conversations.withColumns({n: F.lit(None).cast(k) for n, k in kinds.items() if n not in have})
     c = F.col
     text = lambda name: F.coalesce(c(name).cast("string"), F.lit(""))
     none = lambda value: F.coalesce(value.cast("string"), F.lit("None"))
@@ -82,6 +103,9 @@ def sidecar(conversations: DataFrame) -> DataFrame:
         F.when(c(name) > 0, round_half_up(c(name) / F.lit(60.0), 2).cast("decimal(18,2)"))
     )
     retries = lambda name: F.greatest(F.lit(0), F.coalesce(c(name), F.lit(0)) - 1).cast("string")
+    some = lambda value: F.nullif(value, F.lit(""))
+    judged = c("content_verdict").isNotNull()
+    matches = F.array_sort(F.map_entries("field_matches"))
     total = sum((c(k) for k in fv.TURN_TYPES[1:]), c(fv.TURN_TYPES[0]))
     body = F.concat_ws(
         "\n",
@@ -105,13 +129,20 @@ def sidecar(conversations: DataFrame) -> DataFrame:
         line("overlap_count", text("Overlapping")),
         line("interruption_count", text("Interruption")),
         line("normal_count", text("Normal")),
+        some(F.array_join(F.transform(F.array_sort("type_counts"), lambda x: F.concat(F.lit("  "), x["turn_type"], F.lit(": "), x["n"].cast("string"))), "\n")),
         F.lit("\n## Retries"),
+        *[line(f"{used}_used", F.concat(F.coalesce(c(used).cast("string"), F.lit("0")), F.lit(" of "), none(c(most)))) for used, most in ATTEMPTS],
         line("generation_retries", retries("generation_attempts")),
         line("format_retries", retries("format_attempts")),
+        *[line(flag, F.coalesce(c(flag), F.lit(False)).cast("string")) for flag in FLAGS],
         F.lit("\n## Content validation"),
         line("verdict", F.coalesce(c("content_verdict"), F.lit("none given"))),
+        *[F.when(judged, some(F.concat(F.lit(f"{n}: "), c(n).cast("string")))) for n in ("realism_score", "corpus_match_score")],
+        F.when(judged, some(F.array_join(F.transform(matches, lambda x: F.concat(F.lit("  "), x["key"], F.lit(": "), F.coalesce(x["value"].cast("string"), F.lit("None")))), "\n"))),
+        F.when(judged, some(F.concat(F.lit("feedback: "), F.nullif(c("content_feedback"), F.lit(""))))),
         F.lit("\n## Format validation"),
         line("verdict", F.coalesce(c("format_verdict"), F.lit("none given"))),
+        F.when(c("format_verdict").isNotNull(), some(F.concat(F.lit("feedback: "), F.nullif(c("format_feedback"), F.lit(""))))),
     )
     return conversations.select("corpus_combination_id", "index", body.alias("metadata"))
 
