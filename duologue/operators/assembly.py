@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duologue.functions.text import round_half_up, squeeze, strip
 from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, number_rows
 from duologue.session import cut_lineage
+from duologue.sources.clips import wav_header
 
 EXACT = "decimal(28,6)"
 
@@ -213,6 +214,15 @@ def manifest(scheduled: DataFrame, speakers: Sequence[str], key: str = "conversa
     )
 
 
+def manifest_of_files(files: DataFrame) -> DataFrame:
+    """The manifest rebuilt from stored files ``(path, length, content)``; of the content only the heads of chunks are read.
+
+    Files that are no WAV files have a null duration.
+    """
+    head = wav_header(F.col("content"), F.col("length"))
+    return files.select(F.substring_index("path", "/", -1).alias("path"), round_half_up(head["duration"], 3).alias("duration"))
+
+
 def output_channels(variant_segments: DataFrame) -> DataFrame:
     """Adds the channel a segment is written to: the main speaker's or the other one."""
     return variant_segments.withColumn("channel", F.when(F.col("label") == "SPEAKER_MAIN", "main").otherwise("user"))

@@ -121,6 +121,55 @@ def audio_files(spark: SparkSession, folder: str, glob: str = "*.wav") -> DataFr
     )
 
 
+#: Chunks of a file's head that are looked at.
+HEAD_CHUNKS = 16
+
+
+def _little(content: Column, at: Column, size: int) -> Column:
+    """A little-endian unsigned number of ``size`` bytes from offset ``at``; null beyond the end."""
+    cells = [F.hex(F.substr(content, at + F.lit(i + 1), F.lit(1))) for i in reversed(range(size))]
+    return F.when(F.octet_length(content) >= at + size, F.conv(F.concat(*cells), 16, 10).cast("bigint"))
+
+
+def wav_header(content: Column, length: Column | None = None) -> Column:
+    """``sample_rate, channels, byte_rate, data_bytes, duration`` of a WAV file, from its chunk heads alone.
+
+    Only the heads are looked at, so ``content`` may stop before the payload.  A size that
+    was never filled in (0 or all ones) is what ``length``, the whole file's bytes, leaves;
+    null where neither tells, and for what is no WAV file.
+    """
+    nothing = [F.lit(None).cast("bigint").alias(c) for c in ("sample_rate", "channels", "byte_rate", "data_bytes", "data_at")]
+    start = F.struct(F.lit(12).cast("bigint").alias("at"), *nothing)
+
+    def step(state: Column, _: Column) -> Column:
+        at = state["at"]
+        name, size = F.substr(content, at.cast("int") + 1, F.lit(4)), _little(content, at + 4, 4)
+        fmt = name == F.lit(bytearray(b"fmt "))
+        data = (name == F.lit(bytearray(b"data"))) & state["data_at"].isNull()
+        found = lambda c, value: F.coalesce(state[c], F.when(fmt, value)).alias(c)
+        return F.struct(
+            # beyond 1 GiB there is no head that was read
+            F.when(data | size.isNull(), at).otherwise(F.least(at + 8 + size + size % 2, F.lit(1 << 30))).alias("at"),
+            found("sample_rate", _little(content, at + 12, 4)),
+            found("channels", _little(content, at + 10, 2)),
+            found("byte_rate", _little(content, at + 16, 4)),
+            F.coalesce(state["data_bytes"], F.when(data, size)).alias("data_bytes"),
+            F.coalesce(state["data_at"], F.when(data, at + 8)).alias("data_at"),
+        )
+
+    wav = (F.substr(content, F.lit(1), F.lit(4)) == F.lit(bytearray(b"RIFF"))) & (F.substr(content, F.lit(9), F.lit(4)) == F.lit(bytearray(b"WAVE")))
+    head = F.when(wav, F.aggregate(F.sequence(F.lit(1), F.lit(HEAD_CHUNKS)), start, step))
+    whole = F.lit(None).cast("bigint") if length is None else length
+    size = F.when(head["data_bytes"].isin(0, 0xFFFFFFFF), whole - head["data_at"]).otherwise(head["data_bytes"])
+    return F.struct(
+        head["sample_rate"].alias("sample_rate"),
+        head["channels"].alias("channels"),
+        head["byte_rate"].alias("byte_rate"),
+        size.alias("data_bytes"),
+        (size / F.nullif(head["byte_rate"], F.lit(0))).alias("duration"),
+    )
+
+
 def undecoded(clips: DataFrame) -> DataFrame:
     """Clips held in a table (``path, content``) in the form of ``audio_files``; bytes stay as they are."""
     return clips.select("path", F.octet_length("content").cast("bigint").alias("length"), "content")
