@@ -19,9 +19,6 @@ from duologue.operators import planning, quality, voice
 from duologue.operators.planning import INSTANCE
 from duologue.plans.registry import DeltaLog
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def _start(
     stream: DataFrame, folder: str, on_batch: Callable[[DataFrame, int], None], mode: str = "append", trigger: dict | None = None
 ) -> StreamingQuery:
@@ -34,13 +31,6 @@ def _start(
     )
 
 
-def _use_rocksdb(spark: SparkSession) -> None:
-    """Keep state off the heap unless the session chose a store of its own."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if "HDFSBacked" in spark.conf.get(key, "HDFSBacked"):
-        spark.conf.set(key, ROCKSDB)
-
-
 def speaker_state(clips: DataFrame, target: float = fv.CLIP_TARGET_SEC, minimum: float = fv.CLIP_MIN_SEC) -> DataFrame:
     """Best clip so far per speaker; state is one row per speaker."""
     voice.check_thresholds(target, minimum)
@@ -55,8 +45,10 @@ def speaker_state(clips: DataFrame, target: float = fv.CLIP_TARGET_SEC, minimum:
 
 
 def best_clips(clips: DataFrame, folder: str, **trigger) -> StreamingQuery:
-    """Changed speakers per micro-batch, under ``folder/batch=N``; the newest row of a speaker counts."""
-    _use_rocksdb(clips.sparkSession)
+    """Changed speakers per micro-batch, under ``folder/batch=N``; the newest row of a speaker counts.
+
+    With many speakers the session should name a state store that is off the heap.
+    """
 
     def publish(batch: DataFrame, number: int) -> None:
         batch.where("first_qualifying_index is not null").select(
