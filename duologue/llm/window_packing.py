@@ -5,8 +5,10 @@ others stay whole.  So only lengths matter: a *configuration* is a multiset of l
 fits a window, and the linear program asks for the fewest configurations that cover the
 histogram of lengths.  It is solved by multiplicative weights: every length has a price,
 a knapsack dynamic program finds the dearest configuration, which is taken, and prices of
-covered lengths fall.  The counts are rounded down, what is left over goes through the same
-program again, and the last few pieces are packed best fit, longest first.
+covered lengths fall.  The counts are rounded down and what is left over goes through the
+same program again, until few pieces are left or lengths have fewer than a configuration takes,
+so that their number does not grow with the corpus.  These are packed best fit, longest
+first.
 
 The histogram has one number per length below the window, whatever the corpus, so the
 program runs on the driver.  Documents never do: they are numbered within their length by
@@ -29,95 +31,115 @@ from duologue.llm import workers
 from duologue.llm.packing import END, encoder
 
 WINDOW = 2048
-#: Configurations a round of the linear program takes, and rounds before the rest is packed best fit.
-STEPS = 120
-ROUNDS = 3
+#: Prices a round of the linear program goes through, and how near the dearest configuration others may be.
+STEPS = 40
+CLOSE = 0.01
+#: Rounds go on until so many pieces are left, or none of a round's counts is a whole one.
+REST = 8192
 #: How fast the price of a covered length falls.
 RATE = 0.5
-#: Powers of the size by which prices begin; one after the other, until the lower bound is met.
-SLOPES = (1.3, 1.05, 2.0)
+#: Powers of the size by which prices begin, steps and nearness; one after the other, until the lower bound is met to within ``NEAR``.
+NEAR = 1e-4
+TRIES = ((1.3, STEPS, CLOSE), (1.3, 3 * STEPS, 0.0), (2.0, STEPS, CLOSE))
 #: Sequences of full windows begin here, by task; below lie those of the program.
 FULL = 1 << 61
 
 Bins = list[tuple[int, list[int]]]
 
 
-def dearest(prices: np.ndarray, left: np.ndarray, window: int) -> tuple[list[int], float]:
-    """Knapsack by dynamic programming: the dearest lengths (with repeats) that fit, and the price none can exceed.
+def knapsack(prices: np.ndarray, room: int) -> tuple[np.ndarray, list[int]]:
+    """By dynamic programming, for every room up to ``room``: the dearest price of lengths (with repeats) that fit, and a length of them.
 
-    The unbounded program is exact and gives the price.  A length that it takes more often
-    than there are pieces of is cut to their number, and the room is offered again.
+    A length without a price is not used; a choice of 0 means that one token less is as good.
     """
-    room, out, most = window, [], 0.0
-    open_ = (left > 0) & (prices > 0)
-    taken = np.zeros(len(left), np.int64)
-    while room:
-        worth = np.full(room + 1, -1.0)
-        known = np.where(open_, prices, -1.0)[: room + 1]
-        worth[: len(known)] = known
-        if not (worth > 0).any():
-            break
-        # value[room - c] is the best for a room of c: both addends are then read forwards
-        value, choice, sums = np.zeros(room + 1), [0] * (room + 1), np.empty(room + 1)
-        for c in range(1, room + 1):
-            gain = np.add(worth[1 : c + 1], value[room - c + 1 :], out=sums[:c])
-            best = int(gain.argmax())
-            if gain[best] > value[room - c + 1]:
-                value[room - c], choice[c] = gain[best], best + 1
-            else:
-                value[room - c] = value[room - c + 1]
-        most = most or float(value[0])
-        found, c = [], room
-        while c > 0:
-            if choice[c]:
-                found.append(choice[c])
-                c -= choice[c]
-            else:
-                c -= 1
+    worth = np.full(room + 1, -1.0, np.float32)
+    known = np.where(prices > 0, prices, -1.0)[: room + 1]
+    worth[: len(known)] = known
+    # value[room - c] is the best for a room of c: both addends are then read forwards
+    value, choice, sums = np.zeros(room + 1, np.float32), [0] * (room + 1), np.empty(room + 1, np.float32)
+    for c in range(1, room + 1):
+        gain = np.add(worth[1 : c + 1], value[room - c + 1 :], out=sums[:c])
+        best = int(gain.argmax())
+        if gain[best] > value[room - c + 1]:
+            value[room - c], choice[c] = gain[best], best + 1
+        else:
+            value[room - c] = value[room - c + 1]
+    return value[::-1], choice
+
+
+def traced(choice: list[int], room: int) -> list[int]:
+    out = []
+    while room > 0:
+        if choice[room]:
+            out.append(choice[room])
+            room -= choice[room]
+        else:
+            room -= 1
+    return out
+
+
+def filled(config: list[int], prices: np.ndarray, left: np.ndarray, window: int) -> list[int]:
+    """``config`` with no more of a length than are left; the room this leaves is offered again, to the other lengths."""
+    out, taken, prices = [], np.zeros(len(left), np.int64), prices.copy()
+    while True:
         short = False
-        for s in found:
+        for s in config:
             if taken[s] < left[s]:
                 taken[s] += 1
                 out.append(s)
-                room -= s
             else:
-                short, open_[s] = True, False
-        open_ &= taken < left
-        if not short:
-            break
-    return out, most
+                short, prices[s] = True, 0.0
+        prices[taken >= left] = 0.0
+        room = window - sum(out)
+        if not short or not room:
+            return out
+        config = traced(knapsack(prices, room)[1], room)
+        if not config:
+            return out
 
 
-def program(histogram: np.ndarray, window: int, slope: float, steps: int = STEPS, rate: float = RATE) -> tuple[dict[tuple[int, ...], float], float]:
+def program(histogram: np.ndarray, window: int, slope: float, steps: int = STEPS, close: float = CLOSE, rate: float = RATE) -> tuple[dict[tuple[int, ...], float], float]:
     """Fractional counts of configurations that cover the histogram (nearly), and a lower bound of any packing's windows.
 
-    Every step takes the dearest configuration as often as an equal share of the expected
-    windows, no length beyond its pieces.  The price of a length grows a little faster than
-    its size, so that short pieces stay to fill gaps, times an exponential of how far its
-    coverage lags behind the steps made.
+    Every step takes the dearest configuration, and for each length the dearest one that has
+    it, if that comes within ``close`` of the dearest: as often as an equal share of the
+    expected windows, no length beyond its pieces.  The price of a length grows a little
+    faster than its size, so that short pieces stay to fill gaps, times an exponential of how
+    far its coverage lags behind the steps made.
     """
     sizes = np.arange(len(histogram))
     need = histogram.astype(float)
     bound = float(need @ sizes) / window
     share = bound / steps
     worth = (sizes / window) ** slope
-    covered, lag = np.zeros(len(need)), np.zeros(len(need))
+    rest, lag = need.copy(), np.zeros(len(need))
     counts: dict[tuple[int, ...], float] = {}
-    for step in range(2 * steps):
-        rest = need - covered
+
+    def take(config: list[int]) -> float:
+        kinds, times = np.unique(config, return_counts=True)
+        most = float((rest[kinds] / times).min())
+        much = min(share, most) if share > 1 else most
+        if much > 1e-9:
+            name = tuple(sorted(config, reverse=True))
+            counts[name] = counts.get(name, 0.0) + much
+            rest[kinds] -= times * much
+        return max(much, 0.0)
+
+    for step in range(steps):
         alive = rest > 1e-9
         if not alive.any():
             break
-        lag[alive] = min(1.0, (step + 1) / steps) - covered[alive] / need[alive]
+        lag[alive] = min(1.0, (step + 1) / steps) - (need[alive] - rest[alive]) / need[alive]
         prices = np.where(alive, worth * np.exp(rate * lag), 0.0)
-        config, most = dearest(prices, np.ceil(rest).astype(np.int64), window)
-        kinds, times = np.unique(config, return_counts=True)
-        most_times = float((rest[kinds] / times).min())
-        much = max(min(share, most_times) if share > 1 else most_times, 1e-6)
-        name = tuple(sorted(config, reverse=True))
-        counts[name] = counts.get(name, 0.0) + much
-        covered[kinds] += times * much
-        bound = max(bound, float(prices @ need) / most)  # prices over the dearest one's are a solution of the dual
+        value, choice = knapsack(prices, window)
+        bound = max(bound, float(prices @ need) / float(value[window]) * (1 - 1e-5))  # a solution of the dual, less what single precision may add
+        done = take(filled(traced(choice, window), prices, np.ceil(rest).astype(np.int64), window))
+        having = prices + value[window - sizes]
+        for s in np.argsort(-having, kind="stable"):
+            if done >= share or having[s] < (1 - close) * value[window]:
+                break
+            if rest[s] >= 1:
+                done += take([int(s), *traced(choice, window - int(s))])
     return counts, bound
 
 
@@ -142,16 +164,15 @@ def best_fit(pieces: list[int], window: int) -> list[list[int]]:
     return bins
 
 
-def rounded(histogram: np.ndarray, window: int, slope: float) -> tuple[Bins, float]:
+def rounded(histogram: np.ndarray, window: int, slope: float, steps: int = STEPS, close: float = CLOSE) -> tuple[Bins, float]:
     """Whole counts of configurations for exactly the histogram's pieces, and the lower bound of the first round."""
     left = histogram.astype(np.int64).copy()
     out: Bins = []
     least = 0.0
-    for _ in range(ROUNDS):
-        before = int(left.sum())
-        if not before:
-            break
-        counts, bound = program(left, window, slope)
+    before = -1
+    while left.sum() != before and (left.sum() > REST or not least):
+        before = left.sum()
+        counts, bound = program(left, window, slope, steps, close)
         least = least or bound
         for config, much in sorted(counts.items(), reverse=True):
             kinds, times = np.unique(config, return_counts=True)
@@ -159,8 +180,6 @@ def rounded(histogram: np.ndarray, window: int, slope: float) -> tuple[Bins, flo
             if n > 0:
                 left[kinds] -= times * n
                 out.append((n, list(config)))
-        if int(left.sum()) > before // 2:
-            break
     rest = np.repeat(np.arange(len(left)), left).tolist()
     return out + [(1, b) for b in best_fit(rest, window)], least
 
@@ -171,11 +190,11 @@ def solve(histogram: np.ndarray, window: int = WINDOW) -> Bins:
     ``histogram[s]`` is the number of pieces of ``s`` tokens, below the window.
     """
     best: Bins = []
-    for slope in SLOPES:
-        bins, bound = rounded(histogram, window, slope)
+    for slope, steps, close in TRIES:
+        bins, bound = rounded(histogram, window, slope, steps, close)
         if not best or windows(bins) < windows(best):
             best = bins
-        if windows(best) <= bound + 1 - 1e-9:
+        if windows(best) <= bound * (1 + NEAR) + 1 - 1e-9:
             break
     return best
 
@@ -254,7 +273,7 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     earlier = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     places = slots(solve(histogram, window)) or [(0, 0, 0, 0, 0, 0)]
-    # bounded by steps, rounds and lengths, not by documents
+    # a row for each length of a configuration: steps times rounds, and these grow with the logarithm of the documents
     places = F.broadcast(spark.createDataFrame(places, "size int, first long, end long, sequence long, each long, place long"))
     numbered = rows.join(bases, ["part", "size"], "left").withColumn("at", F.col("base") + F.col("number"))
     placed = numbered.join(places, (numbered["size"] == places["size"]) & F.col("at").between(F.col("first"), F.col("end") - 1), "left").drop(places["size"])
