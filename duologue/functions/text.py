@@ -21,8 +21,11 @@ def strip(value: Column) -> Column:
 
 
 def squeeze(value: Column) -> Column:
-    """Trim, then turn every run of blanks into one space."""
-    return strip(F.regexp_replace(value, f"{BLANK}+", " "))
+    """Trim, then turn every run of blanks into one space.
+
+    Single spaces are no matches, and visible ASCII is passed over before the class is tried.
+    """
+    return strip(F.regexp_replace(value, f"(?![!-~])(?:{BLANK}{{2,}}|(?! ){BLANK})", " "))
 
 
 def word_count(value: Column) -> Column:

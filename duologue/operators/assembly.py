@@ -14,6 +14,9 @@ from duologue.sources.clips import wav_header
 
 EXACT = "decimal(28,6)"
 
+#: Words of a run, more in clips of more than the square of it.
+RUN_WORDS = 16
+
 SCRIPT_SCHEMA = (
     "conversation_id string, language string, speakers map<string, struct<voice: string>>, "
     "turns array<struct<speaker: string, text: string, gap: double, overlap: double>>, _corrupt string"
@@ -117,45 +120,83 @@ def schedule(
     )
 
 
-def align_words(
-    clips: DataFrame, keys: Sequence[str] = ("conversation_id", "pos"), *, inter_word_gap: float = 0.0
-) -> DataFrame:
-    """Words of a clip with times in proportion to their characters.
+def _characters_before(text: Column, mark: str, j: Column, words: Column) -> Column:
+    """Characters before the ``j``-th part of a text, ``words`` words, without the single marks or blanks between them."""
+    return (F.length(F.call_function("substring_index", text, F.lit(mark), j)) - F.greatest(words - 1, F.lit(0))).cast("bigint")
+
 
-    Clips are hash-partitioned before their words are exploded, so the running sum
-    over words needs no further shuffle.
+def _word_runs(clips: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Clips cut into runs of words, with ``columns`` of the clip (``duration`` among them).
+
+    ``_n`` and ``_all`` are the clip's words and characters, ``_first`` and ``_begun`` those
+    before the run, ``_size`` and ``_text`` the run's words.  Sums stay inside a row: neither
+    a window over words nor an exchange is needed.  A prefix is read again for each of its
+    words and runs, so a run has the square root of the words if these are many.
     """
-    # The word count is taken before the explode; as a neighbour of the generator it
-    # would be computed again for every word.
-    split = (
+    squeezed = F.col("_squeezed")
+    counted = (
         clips.where(F.col("duration") > 0)
-        .select(*keys, "speaker", "duration", squeeze(F.col("text")).alias("_text"))
-        .repartition(*keys)
-        .select(*keys, "speaker", "duration", F.split("_text", " ", -1).alias("_words"))
-        .select("*", F.size("_words").alias("_n"))
+        .select(*columns, squeeze(F.col("text")).alias("_squeezed"))
+        .withColumn("_all", F.length(F.replace(squeezed, F.lit(" "), F.lit(""))).cast("bigint"))
+        .withColumn("_n", (F.length(squeezed) - F.col("_all") + 1).cast("int"))
+        .withColumn("_run", F.greatest(F.lit(RUN_WORDS), F.ceil(F.sqrt("_n"))).cast("int"))
     )
+    # The blank after each run becomes a line end; squeezed texts have no other.
+    pattern = F.concat(F.lit("((?:[^ ]++ ){"), (F.col("_run") - 1).cast("string"), F.lit("}+[^ ]++) "))
+    marked = counted.withColumn("_marked", F.regexp_replace(squeezed, pattern, F.lit("$1\n"))).drop("_squeezed")
     # The outer form: Spark guards a plain explode with a filter on the array's size and
-    # moves it below the shuffle, splitting every text once more.
-    spread = split.select(*keys, "speaker", "duration", "_n", F.posexplode_outer("_words").alias("_i", "word")).where("word != ''")
+    # splits every text once more.  Blank texts are left out after it for the same reason.
+    spread = marked.select("*", F.posexplode_outer(F.split("_marked", "\n", -1)).alias("_i", "_text")).where("_text != ''")
+    first = F.col("_i") * F.col("_run")
+    return spread.select(
+        *columns,
+        "_n",
+        "_all",
+        first.alias("_first"),
+        _characters_before(F.col("_marked"), "\n", F.col("_i"), first).alias("_begun"),
+        F.least(F.col("_run"), F.col("_n") - first).alias("_size"),
+        "_text",
+    )
+
+
+def _count_before(j: Column) -> Column:
+    """Characters of the clip before word ``j`` of a run."""
+    return F.col("_begun") + _characters_before(F.col("_text"), " ", j, j)
+
 
-    clip = Window.partitionBy(*keys)
-    chars = F.length("word").cast("bigint")
-    upto = F.sum(chars).over(clip.orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    timed = spread.select("*", upto.alias("_upto"), F.sum(chars).over(clip).alias("_all"))
+def _time_in_clip(count: Column, index: Column, inter_word_gap: float) -> Column:
+    """When ``count`` characters and ``index`` gaps of a clip are over."""
     gaps = F.lit(inter_word_gap) * (F.col("_n") - 1)
     speech = F.greatest(F.col("duration") - gaps, F.lit(0.0))
     gap = (F.col("duration") - speech) / F.greatest(F.col("_n") - 1, F.lit(1))
-    at = lambda count: round_half_up(speech * count / F.col("_all") + gap * F.col("_i"), 3)
-    return timed.select(
-        *keys,
+    return round_half_up(speech * count / F.col("_all") + gap * index, 3)
+
+
+def _words_of_runs(runs: DataFrame, columns: Sequence[str], inter_word_gap: float) -> DataFrame:
+    """``columns`` of the run and ``word_no, speaker, word, start, end`` of its words, times within the clip."""
+    # The explode and what follows are one loop in which the run's columns are not copied.
+    spread = runs.select("*", F.posexplode_outer(F.split("_text", " ", -1)).alias("_j", "word"))
+    counted = spread.withColumn("_i", F.col("_first") + F.col("_j")).withColumn("_count", _count_before(F.col("_j")))
+    return counted.select(
+        *columns,
         (F.col("_i") + 1).cast("bigint").alias("word_no"),
         "speaker",
         "word",
-        at(F.col("_upto") - chars).alias("start"),
-        at(F.col("_upto")).alias("end"),
+        _time_in_clip(F.col("_count"), F.col("_i"), inter_word_gap).alias("start"),
+        _time_in_clip(F.col("_count") + F.length("word"), F.col("_i"), inter_word_gap).alias("end"),
     )
 
 
+def align_words(
+    clips: DataFrame, keys: Sequence[str] = ("conversation_id", "pos"), *, inter_word_gap: float = 0.0
+) -> DataFrame:
+    """Words of a clip with times in proportion to their characters.
+
+    Nothing is shuffled or sorted, a clip's words come from its row alone.
+    """
+    return _words_of_runs(_word_runs(clips, [*keys, "speaker", "duration"]), keys, inter_word_gap)
+
+
 def merge_alignments(words: DataFrame, scheduled: DataFrame, keys: Sequence[str] = ("conversation_id",), *, block_sec: float = 60.0) -> DataFrame:
     """Words of both speakers on the conversation's clock, numbered in time order.
 

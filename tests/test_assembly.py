@@ -84,6 +84,42 @@ def test_word_alignment(spark):
     assert long[2] - long[1] > short[2] - short[1]
 
 
+def spoken(spark, seed):
+    """Clips of two conversations: odd blanks, long lines, short clips that later ones overtake, a third and no speaker."""
+    import random
+
+    draw, rows = random.Random(seed), []
+    for conv in ("a", "b"):
+        for pos in range(1, 60):
+            n = draw.choice([0, 1, 3, 15, 16, 17, 32, 33, 400])
+            text = draw.choice(["", " ", "\n"]) + "".join(draw.choice(["a", "bc", "déf", "x" * 30]) + draw.choice([" ", " ", "  ", "\t", "\u00a0\n"]) for _ in range(n))
+            duration = draw.choice([0.0, 0.3, 2.0, len(text) / 13])
+            rows.append((conv, pos, draw.choice(["user1", "user2", "user3", None]), None if n == 3 and pos > 50 else text, duration, 0.0, draw.choice([0.0, 0.9])))
+    return spark.createDataFrame(rows, CLIPS)
+
+
+def test_aligned_words_equal_prefix_sums(spark):
+    import math
+
+    clips = spoken(spark, 3)
+    want = set()
+    for c in clips.collect():
+        said = (c.text or "").split()
+        total, upto = sum(map(len, said)), 0
+        speech = max(c.duration - 0.05 * (len(said) - 1), 0.0)
+        gap = (c.duration - speech) / max(len(said) - 1, 1)
+        at = lambda n, i: math.floor((speech * n / total + gap * i) * 1000.0 + 0.5) / 1000.0
+        for i, word in enumerate(said if c.duration > 0 else []):
+            want.add((c.conversation_id, c.pos, i + 1, c.speaker, word, at(upto, i), at(upto + len(word), i)))
+            upto += len(word)
+    assert {tuple(r) for r in assembly.align_words(clips, inter_word_gap=0.05).collect()} == want
+
+
+def test_words_are_neither_shuffled_nor_sorted_for_alignment(spark):
+    plan = assembly.align_words(spoken(spark, 6))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
 def test_variants_flip_labels_only(spark):
     rows = [("c", "a", 0.0, 0.5, "user1", 1), ("c", "b", 0.5, 1.0, "user1", 2), ("c", "c", 0.7, 1.2, "user2", 3)]
     df = spark.createDataFrame(rows, "conversation_id string, word string, start double, end double, speaker string, seq long")
