@@ -535,7 +535,7 @@ class Views:
 
     @cached_property
     def merged_words(self) -> DataFrame:
-        return assembly.merge_alignments(assembly.align_words(self.clip_turns), self.scheduled)
+        return assembly.merged_words(self.scheduled)
 
     # ---- files ---------------------------------------------------------------
     @cached_property

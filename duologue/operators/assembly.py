@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duologue.functions.text import round_half_up, squeeze, strip
-from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, number_rows
+from duologue.operators.ordered import BLOCK_ROWS, block_of, block_window, carry_over, number_rows
 from duologue.session import cut_lineage
 from duologue.sources.clips import wav_header
 
 EXACT = "decimal(28,6)"
 
-#: Words of a run, more in clips of more than the square of it.
+#: Words of a run, more in clips of more than the square of it, and words that a task sorts.
 RUN_WORDS = 16
+TASK_WORDS = 1_000_000
 
 SCRIPT_SCHEMA = (
     "conversation_id string, language string, speakers map<string, struct<voice: string>>, "
@@ -197,6 +198,59 @@ def align_words(
     return _words_of_runs(_word_runs(clips, [*keys, "speaker", "duration"]), keys, inter_word_gap)
 
 
+def _numbered_words(scheduled: DataFrame, keys: Sequence[str], inter_word_gap: float, block_sec: float) -> DataFrame:
+    """Rows of ``merged_words`` and ``_blk``, the stretch of time a word begins in; hash partitioned by it and the keys."""
+    if inter_word_gap < 0:
+        raise ValueError("words of a clip must be in order of time")
+    c = F.col
+    on_clock = lambda value: round_half_up(value + c("_clip_start"), 3)
+    clip = ["pos", "speaker", "duration", "_clip_start"]
+    runs = _word_runs(scheduled.withColumn("_clip_start", c("start")), [*keys, *clip])
+
+    def block(j: Column) -> Column:
+        return F.floor(on_clock(_time_in_clip(_count_before(j), c("_first") + j, inter_word_gap)) / F.lit(block_sec))
+
+    # A run that goes on into later blocks is cut where its words' blocks change.
+    bounded = runs.withColumn("_from_blk", block(F.lit(0))).withColumn("_to_blk", block(c("_size") - 1))
+    placed = bounded.select("*", F.explode_outer(F.sequence("_from_blk", "_to_blk")).alias("_blk"))
+    whole = c("_from_blk") == c("_to_blk")
+    inside = F.when(~whole, F.filter(F.sequence(F.lit(0), c("_size") - 1), lambda j: block(j) == c("_blk")))
+    cut = placed.withColumn("_in", inside).where(whole | (F.size("_in") > 0)).withColumn("_at", F.when(whole, 0).otherwise(F.get("_in", F.lit(0))))
+    size = F.when(whole, c("_size")).otherwise(F.size("_in"))
+    pieces = cut_lineage(
+        cut.select(
+            *keys,
+            "_blk",
+            *clip,
+            "_n",
+            "_all",
+            (c("_first") + c("_at")).alias("_first"),
+            F.when(whole, c("_begun")).otherwise(_count_before(c("_at"))).alias("_begun"),
+            size.alias("_size"),
+            F.when(whole, c("_text")).otherwise(F.array_join(F.slice(F.split("_text", " ", -1), c("_at") + 1, size), " ")).alias("_text"),
+        )
+    )
+    before = carry_over(pieces, keys, ["_blk"], {"_before": ("sum", c("_size"))})
+    # Runs are small before their words are spread and sorted, so the number of tasks follows from the words.
+    words = pieces.agg(F.sum("_size")).first()[0] or 0
+    dealt = pieces.repartition(1 + words // TASK_WORDS, *keys, "_blk").join(before, [*keys, "_blk"], "left")
+    spread = _words_of_runs(dealt, [*keys, "_blk", "_before", "_clip_start", "pos"], inter_word_gap)
+    moved = spread.withColumn("start", on_clock(c("start"))).withColumn("end", on_clock(c("end")))
+    place = F.row_number().over(block_window(keys, ["_blk"], ["start", "pos", "word_no"]))
+    return moved.select(*keys, "_blk", "pos", "word_no", "speaker", "word", "start", "end", (F.coalesce("_before", F.lit(0)) + place).cast("bigint").alias("seq"))
+
+
+def merged_words(
+    scheduled: DataFrame, keys: Sequence[str] = ("conversation_id",), *, inter_word_gap: float = 0.0, block_sec: float = 600.0
+) -> DataFrame:
+    """Words of all speakers on the conversation's clock, numbered in time order.
+
+    The same rows as ``merge_alignments`` of the words of ``align_words``.  Here runs of words
+    are stored and shuffled as texts, to the stretch of time they begin in, and become words there.
+    """
+    return _numbered_words(scheduled, keys, inter_word_gap, block_sec).drop("_blk")
+
+
 def merge_alignments(words: DataFrame, scheduled: DataFrame, keys: Sequence[str] = ("conversation_id",), *, block_sec: float = 60.0) -> DataFrame:
     """Words of both speakers on the conversation's clock, numbered in time order.
 

@@ -115,6 +115,17 @@ def test_aligned_words_equal_prefix_sums(spark):
     assert {tuple(r) for r in assembly.align_words(clips, inter_word_gap=0.05).collect()} == want
 
 
+@pytest.mark.parametrize("block_sec", [0.5, 10.0, 600.0])
+def test_merged_words_equal_merged_alignments(spark, block_sec):
+    clips = spoken(spark, 4)
+    scheduled = assembly.schedule(clips)
+    got = assembly.merged_words(scheduled, block_sec=block_sec)
+    want = assembly.merge_alignments(assembly.align_words(clips), scheduled)
+    assert sorted(got.collect(), key=repr) == sorted(want.select(*got.columns).collect(), key=repr)
+    with pytest.raises(ValueError):
+        assembly.merged_words(scheduled, inter_word_gap=-0.1)
+
+
 def test_words_are_neither_shuffled_nor_sorted_for_alignment(spark):
     plan = assembly.align_words(spoken(spark, 6))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
