@@ -144,7 +144,7 @@ def register(q) -> None:
         lambda v: assembly.segments(v.scheduled, USERS)
         .select("variant", "label", "speaker", "start", "end", nothing("bigint").alias("part"), nothing("string").alias("transcript"))
         .unionByName(
-            assembly.transcript_parts(assembly.channel_variants(v.merged_words, USERS)).select(
+            assembly.merged_transcripts(v.scheduled, USERS).select(
                 "variant", "label", nothing("string").alias("speaker"), nothing("double").alias("start"), nothing("double").alias("end"), "part", "transcript"
             )
         ),

@@ -271,8 +271,15 @@ def merge_alignments(words: DataFrame, scheduled: DataFrame, keys: Sequence[str]
     return number_rows(blocked, keys, ["start", "pos", "word_no"], ["_blk"], "seq").drop("_blk")
 
 
+LABELS = ("SPEAKER_MAIN", "SPEAKER_OTHER")
+
+
 def label(speaker: Column, main: Column) -> Column:
-    return F.when(speaker == main, "SPEAKER_MAIN").otherwise("SPEAKER_OTHER")
+    return F.when(speaker == main, LABELS[0]).otherwise(LABELS[1])
+
+
+def variant_name(key: Column, main: Column) -> Column:
+    return F.concat(key.cast("string"), F.lit("__"), main, F.lit("_agent"))
 
 
 def channel_variants(rows: DataFrame, speakers: Sequence[str], key: str = "conversation_id") -> DataFrame:
@@ -280,7 +287,7 @@ def channel_variants(rows: DataFrame, speakers: Sequence[str], key: str = "conve
     mains = F.explode(F.array(*[F.lit(s) for s in speakers]))
     return rows.select("*", mains.alias("main_speaker")).select(
         "*",
-        F.concat(F.col(key).cast("string"), F.lit("__"), F.col("main_speaker"), F.lit("_agent")).alias("variant"),
+        variant_name(F.col(key), F.col("main_speaker")).alias("variant"),
         label(F.col("speaker"), F.col("main_speaker")).alias("label"),
     )
 
@@ -295,6 +302,37 @@ def transcript_parts(variants: DataFrame, part_words: int = 10_000) -> DataFrame
     )
 
 
+def merged_transcripts(
+    scheduled: DataFrame,
+    speakers: Sequence[str],
+    key: str = "conversation_id",
+    part_words: int = 10_000,
+    *,
+    inter_word_gap: float = 0.0,
+    block_sec: float = 600.0,
+) -> DataFrame:
+    """``transcript_parts`` of the variants of ``merged_words``.
+
+    Words are joined to texts where they were numbered, only these are shuffled.
+    """
+    rows = _numbered_words(scheduled, [key], inter_word_gap, block_sec)
+    part = F.floor((F.col("seq") - 1) / part_words).cast("bigint")
+    local = rows.groupBy(key, "_blk", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "word"))).alias("_w"))
+
+    def text(main: str, name: str) -> Column:
+        said = F.filter("_w", lambda w: label(w["speaker"], F.lit(main)) == name)
+        return F.struct(F.lit(main).alias("main"), F.lit(name).alias("label"), F.array_join(F.transform(said, lambda w: w["word"]), " ").alias("text"))
+
+    texts = F.explode_outer(F.array(*[text(m, n) for m in speakers for n in LABELS])).alias("_t")
+    return (
+        local.select(key, "_blk", "part", texts)
+        .where("_t.text != ''")
+        .groupBy(variant_name(F.col(key), F.col("_t.main")).alias("variant"), F.col("_t.label").alias("label"), "part")
+        .agg(F.array_sort(F.collect_list(F.struct("_blk", F.col("_t.text").alias("text")))).alias("_w"))
+        .select("variant", "label", "part", F.array_join(F.transform("_w", lambda w: w["text"]), " ").alias("transcript"))
+    )
+
+
 def segments(scheduled: DataFrame, speakers: Sequence[str], key: str = "conversation_id") -> DataFrame:
     return channel_variants(scheduled.select(key, "pos", "speaker", "start", "end"), speakers, key)
 

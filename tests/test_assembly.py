@@ -126,6 +126,14 @@ def test_merged_words_equal_merged_alignments(spark, block_sec):
         assembly.merged_words(scheduled, inter_word_gap=-0.1)
 
 
+def test_merged_transcripts_equal_parts_of_variants(spark):
+    scheduled = assembly.schedule(spoken(spark, 5))
+    variants = assembly.channel_variants(assembly.merged_words(scheduled), ["user1", "user2"])
+    want = assembly.transcript_parts(variants, 100).collect()
+    got = assembly.merged_transcripts(scheduled, ["user1", "user2"], part_words=100, block_sec=20.0).collect()
+    assert len(want) > 8 and sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_words_are_neither_shuffled_nor_sorted_for_alignment(spark):
     plan = assembly.align_words(spoken(spark, 6))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
