@@ -46,3 +46,19 @@ def test_awkward_rows(spark):
     untrained = suffix_counts.score(docs, F.lit(False)).collect()
     assert all(r.train_tokens == r.n_known == 0 and r.base_score == r.score == 0 for r in untrained)
     assert suffix_counts.score(rows.empty(spark), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("hot, top, group, part, positions", [(10**9, 0, 500, 100, 700), (10**9, 40, 10**9, 10**9, 10**9), (200, 300, 300, 200, 2000), (20, 0, 1000, 10, 300), (4, 1000, 2000, 10**9, 10**9)])
+def test_groups_slices_hot_contexts(spark, monkeypatch, hot, top, group, part, positions):
+    for name, value in (("HOT", hot), ("TOP", top), ("GROUP", group), ("SLICE", part), ("POSITIONS", positions)):
+        monkeypatch.setattr(suffix_counts, name, value)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    texts += ["The cat  sat on the mat " * 30, None, "", "unseen words only here", "the cat sat on", "the cat sat on the mat"] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    trains = [zlib.crc32(str(i).encode()) % 7 != 2 for i in range(len(texts))]
+    got = {r.key: r for r in suffix_counts.score(docs, workers.hash_remainder(F.col("doc_id"), 7) != 2).collect()}
+    want, _ = plain(texts, trains, **WHOLE)
+    for i, (known, base, points) in enumerate(want):
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known) == (not trains[i], len(words(texts[i])), known)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(points, rel=1e-9)
