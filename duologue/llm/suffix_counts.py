@@ -40,7 +40,7 @@ from duologue.llm.suffix_tree import DEPTH, END, HELD, SMOOTHING
 SEEN_BITS = 27
 BITS_EACH = 8
 #: Bytes of text that are split into words at once; a longer document makes a pass of its own.
-PASS_BYTES = 5 << 19
+PASS_BYTES = 3 << 19
 #: Tokens or names that a task holds before it hands them on.
 POSITIONS = 1_000_000
 #: Keys that meet one in so many rows are broadcast in joins.
@@ -48,8 +48,8 @@ HOT_SHARE = 1000
 #: Tokens after a context from which on its entries are tables.
 HOT = 4_000_000
 #: Tokens of a group, about, and of a slice of it that is worked on at once.
-GROUP = 3_000_000
-SLICE = 500_000
+GROUP = 2_500_000
+SLICE = 250_000
 #: Names at most whose probability is broadcast.
 TOP = 1 << 19
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -406,12 +406,9 @@ class Group:
         if len(some) > shared.slice:
             number = -(-len(some) // shared.slice)
             parts = (self.names(some, k) % np.uint64(number)).astype(np.uint16)
-            order = np.argsort(parts, kind="stable").astype(np.int32)
-            cuts = np.append(0, np.cumsum(np.bincount(parts, minlength=number)))
-            some, again = some[order], again[order]
-            del parts, order
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                self._judge(some[a:b], k, again[a:b])
+            for i in range(number):
+                own = parts == i
+                self._judge(some[own], k, again[own])
         else:
             self._judge(some, k, again)
 
@@ -466,6 +463,7 @@ def _judged(sent: Broadcast):
     def judge(rows: pa.Table, told: pa.Table) -> pa.Table:
         shared = sent.value
         top, width = len(shared.names), shared.depth + 1
+        pa.default_memory_pool().release_unused()
         packs = rows.filter(pc.is_valid(rows["tokens"])).select(["tokens", "words", "size"])
         docs = rows.filter(pc.is_null(rows["tokens"])).select(list(DOCS))
         docs = docs.append_column("sums", pa.nulls(docs.num_rows, pa.binary()))
@@ -475,7 +473,7 @@ def _judged(sent: Broadcast):
         names, first = np.unique(told["name"].to_numpy().view(np.uint64), return_index=True)
         told = names, told["q"].to_numpy()[first], told["root"].to_numpy()[first]
         sizes = packs["size"].to_numpy()
-        words, marks, row = np.empty((width, sizes.sum()), np.int32), np.empty(sizes.sum(), np.int8), np.empty(sizes.sum(), np.int32)
+        words, marks, change = np.empty((width, sizes.sum()), np.int32), np.empty(sizes.sum(), np.int8), np.empty(sizes.sum(), bool)
         table, ids, own, a, cuts = [shared.ranked, np.zeros(1, np.uint64)], [], 0, 0, [0]
         for tokens, others, size in zip(*(packs[c] for c in packs.column_names), strict=True):
             b = a + size.as_py()
@@ -483,22 +481,23 @@ def _judged(sent: Broadcast):
             words[:, a:b], marks[a:b] = part[:width], part[-1]
             words[:, a:b][part[:width] > top] += own
             # documents of a pack are in order
-            change = part[width] > 0
-            change[0] = True
-            row[a:b] = np.cumsum(change) + (cuts[-1] - 1)
-            ids.append(np.cumsum(part[width][change]))
+            change[a:b] = part[width] > 0
+            change[a] = True
+            ids.append(np.cumsum(part[width][change[a:b]]))
             cuts.append(cuts[-1] + len(ids[-1]))
             table.append(np.frombuffer(others.as_py(), np.uint64))
             own, a = own + len(table[-1]), b
         del packs, part, tokens
         group = Group(shared, np.concatenate(table), words, marks, told)
         group.judge(np.arange(len(marks), dtype=np.int32))
-        some, root = group.unclear, group.root
+        some, root, q = group.unclear, group.root, group.q
+        del group, words
+        row = np.cumsum(change, dtype=np.int32) - 1
         sums = np.empty(cuts[-1], SUMS)
         sums["doc"] = np.concatenate(ids)
         sums["known"] = np.bincount(row[some], root > 1.5 / shared.below, len(sums))
         sums["base"] = np.bincount(row[some], np.log10(root), len(sums))
-        sums["score"] = np.bincount(row, np.log10(group.q), len(sums))
+        sums["score"] = np.bincount(row, np.log10(q), len(sums))
         found = {"chunk": chunks, "sums": [sums[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]}
         return pa.concat_tables([docs, pa.Table.from_batches([_filled(JUDGED, docs["key"].type, found)])])
 

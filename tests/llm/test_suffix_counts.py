@@ -62,3 +62,20 @@ def test_groups_slices_hot_contexts(spark, monkeypatch, hot, top, group, part, p
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known) == (not trains[i], len(words(texts[i])), known)
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(points, rel=1e-9)
+
+
+def test_bytes_shuffled_for_a_token(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    first = max(store.lastStageAttempt(i).stageId() for i in _stages(spark))
+    got = queries.op3_suffix_tree(spark, "/root/testdata/sf0.01").agg(F.sum("n_tokens"), F.count("score")).first()
+    written = sum(store.lastStageAttempt(i).shuffleWriteBytes() for i in _stages(spark) if i > first)
+    assert got[1] == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
+    # every token goes once to a group, with three words before it
+    assert written < 18 * got[0]
+
+
+def _stages(spark):
+    """Numbers of all stages so far."""
+    spark.range(10).repartition(2).count()
+    tracker = spark.sparkContext.statusTracker()
+    return [i for job in tracker.getJobIdsForGroup(None) for i in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(i)]
